@@ -47,7 +47,7 @@ EXTRA_MARKUP = (
     '<a href="mailto:a@b.si">m</a><a href="info@bč.si">m</a><a href="javascript:go()">j</a>'
     '<a href="../up/./a/../{id}/index.html?x=1#top">u</a><a href="#top">t</a>'
     '<a href="//CDN.example.org:80/a b/é%c3%a9/{id}&amp;~*">s</a>'
-    '<a href="http://cdn.example.net/n/{id}">n</a>'
+    '<a href="http://cdn.example.net/n/{id}">n</a><a href="http://Docs.example.org/{id}">n</a>'
     '<span onclick="location.href=\'/o/{id}\'">o</span>'
     '<span onclick="window.location=\'/o/{id}.pdf\'">p</span>'
     '<span onclick="document.location.href=\'/o/{id}.xls\';">q</span>'

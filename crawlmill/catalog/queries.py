@@ -53,7 +53,7 @@ LINK_ORDER = ["page_id", "source", "pos"]
 def page_scan(spark, sf_dir):
     read = readers.read_pages(spark, f"{sf_dir}/pages.parquet")
     return read.select(
-        "page_id", "url", F.length("html").alias("n_chars"), F.md5("html").alias("html_md5")
+        "page_id", "url", F.length("html").cast("long").alias("n_chars"), F.md5("html").alias("html_md5")
     )
 
 

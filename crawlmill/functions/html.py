@@ -50,7 +50,7 @@ def _attribute_pattern(attribute: str, tag: str = "[a-z][^\\s/>]*+") -> str:
     other = rf"[\s/]*+(?!{wanted})[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE}?+)?+"
     return (
         rf"(?is)<{tag}(?=[\s/])"
-        rf"(?:(?:{other})*+[\s/]*+{wanted}(?:\s*+=\s*+({_VALUE})?+)?+)++"
+        rf"(?:(?:{other})*+[\s/]*+{wanted}(?:\s*+=\s*+)?+((?<=[=\s]){_VALUE}|))++"
     )
 
 
