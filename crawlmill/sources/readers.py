@@ -28,8 +28,7 @@ def read_page_files(spark: SparkSession, path: str, pattern: str = "*.html") ->
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .option("wholetext", "true")
-        .text(path)
+        .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("html"))
     )
 

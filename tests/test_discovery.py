@@ -1,0 +1,76 @@
+from datetime import datetime
+
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from crawlmill.operators import discovery as D
+
+AS_OF = datetime(2024, 1, 1)
+LINKS = "page_id long, from_url string, source int, pos int, url string"
+ORDER = ["page_id", "source", "pos"]
+
+
+def links(spark):
+    return spark.createDataFrame([
+        (1, "http://a/1", 1, 0, "http://a/x"), (1, "http://a/1", 1, 1, "http://a/1"),
+        (1, "http://a/1", 2, 0, "http://b/y"), (1, "http://a/1", 1, 5, "http://a/x"),
+        (2, "http://a/2", 1, 0, "http://b/y"), (2, "http://a/2", 1, 1, "http://c/z"),
+        (2, "http://a/2", 1, 2, "http://c/" + "q" * 3000), (3, None, 0, 0, "http://a/s"),
+        (3, None, 0, 1, "http://c/z"),
+    ], LINKS)
+
+
+def step(spark):
+    pages = spark.createDataFrame([("http://a/1",), ("http://a/2",)], "url string")
+    sites = spark.createDataFrame([("a",)], "domain string")
+    return D.discover(links(spark), pages, sites, ORDER, AS_OF)
+
+
+def test_first_occurrence_wins(spark):
+    assert rows(D.first_discovery(D.storable(links(spark)), ORDER), "url", "page_id", "source", "pos") == [
+        ("http://a/1", 1, 1, 1), ("http://a/s", 3, 0, 0), ("http://a/x", 1, 1, 0),
+        ("http://b/y", 1, 2, 0), ("http://c/z", 2, 1, 1)]
+
+
+def test_compound_step(spark):
+    found = step(spark)
+    assert rows(found.new_pages()) == [
+        ("http://a/s", "a", "FRONTIER"), ("http://a/x", "a", "FRONTIER"),
+        ("http://b/y", "b", "FRONTIER"), ("http://c/z", "c", "FRONTIER")]
+    assert rows(found.new_sites()) == [("b",), ("c",)]
+    assert rows(found.new_links()) == [
+        ("http://a/1", "http://a/x"), ("http://a/1", "http://b/y"), ("http://a/2", "http://c/z")]
+    assert rows(found.new_frontier(), "time_added", "occupied") == [(AS_OF, False)] * 4
+    assert D.rejected(links(spark)).count() == 1
+
+
+def test_one_shuffle_for_first_occurrence_and_known_urls(spark, tmp_path):
+    links(spark).write.parquet(str(tmp_path / "l"))
+    spark.range(3).select(F.concat(F.lit("http://p/"), "id").alias("url")).write.parquet(str(tmp_path / "p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = D.discover(
+            spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "p")),
+            spark.createDataFrame([], "domain string"), ORDER, AS_OF).found
+        plan = plan_of(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(url") == 2  # the links and the known URLs
+    assert plan.count("WindowGroupLimit") == 2  # one of them before the shuffle
+
+
+def test_new_links(spark):
+    have = spark.createDataFrame([(1, 2)], "from_page long, to_page long")
+    candidates = spark.createDataFrame([(1, 2), (2, 1), (2, 1), (3, 1)], "from_page long, to_page long")
+    assert rows(D.new_links(candidates, have)) == [(2, 1), (3, 1)]
+
+
+def test_seeds_only_for_an_empty_frontier(spark):
+    seeds = spark.createDataFrame(
+        [(0, "http://a/"), (1, "http://b/"), (2, "http://a/")], "seed_order long, url string")
+    pages = spark.createDataFrame([("http://b/",)], "url string")
+    empty = spark.createDataFrame([], "page_id long")
+    used = spark.createDataFrame([(1,)], "page_id long")
+    assert rows(D.seed_frontier(seeds, empty, pages, AS_OF), "url", "domain", "time_added") == [
+        ("http://a/", "a", AS_OF)]
+    assert D.seed_frontier(seeds, used, pages, AS_OF).count() == 0
