@@ -21,7 +21,7 @@ from crawlmill.operators.links import extract_links, page_links
 from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.page_step import process_batch as run_batch
 from crawlmill.plans.replay import prepare_corpus, replay
-from crawlmill.session import new_work_path
+from crawlmill.session import materialize, new_work_path
 from crawlmill.sources import readers, writers
 from crawlmill.streaming import jobs
 
@@ -295,8 +295,6 @@ def _discovery_rows(step: discovery.Discovery) -> list[DataFrame]:
 @query
 def discover(spark, sf_dir):
     """The whole compound step; the found URLs are written once and feed four tables."""
-    from crawlmill.session import materialize
-
     step = _discovery(spark, sf_dir)
     step = discovery.Discovery(materialize(step.found, "found"), step.sites, step.as_of)
     return reduce(DataFrame.unionByName, _discovery_rows(step))
@@ -339,9 +337,11 @@ def link_graph(spark, sf_dir):
 # --- content -----------------------------------------------------------------------
 
 def _hashed_documents(spark, sf_dir) -> DataFrame:
-    return X.documents(spark, sf_dir).select(
+    """Ids and hashes, written once: the texts are read and hashed a single time."""
+    hashed = X.documents(spark, sf_dir).select(
         "id", H.content_hash(F.col("text")).alias("content_hash")
     )
+    return materialize(hashed, "hashes")
 
 
 @query
@@ -359,7 +359,7 @@ def content_dup(spark, sf_dir):
 @query
 def content_dup_semi(spark, sf_dir):
     documents = _hashed_documents(spark, sf_dir)
-    return content.seen_elsewhere(documents, _hashed_documents(spark, sf_dir)).select("id")
+    return content.seen_elsewhere(documents, documents).select("id")
 
 
 # --- robots and politeness -----------------------------------------------------------
@@ -606,8 +606,6 @@ def _corpus_edges(spark, sf_dir) -> DataFrame:
 @query
 def bfs_levels(spark, sf_dir):
     """Levels of everything reachable from the first page."""
-    from crawlmill.session import materialize
-
     edges = materialize(_corpus_edges(spark, sf_dir), "edges")
     first = X.canonical_pages(spark, sf_dir).orderBy("page_id").limit(1)
     seeds = first.select("url", F.col("page_id").alias("seed_order"))

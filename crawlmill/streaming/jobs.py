@@ -87,7 +87,8 @@ def content_stream(contents: DataFrame, root: str) -> StreamingQuery:
             session.read.schema(f"{hashes}, batch long").parquet(f"{root}/hashes")
             .where(F.col("batch") < number)
         )
-        verdicts = content_verdicts(batch.select("id", "content_hash"), (), known)
+        arrived = materialize(batch.select("id", "content_hash"), f"contents-{number}")
+        verdicts = content_verdicts(arrived, (), known)
         target = f"{root}/verdicts/batch={number}"
         verdicts.write.mode("overwrite").parquet(target)
         written = session.read.schema(verdicts.schema).parquet(target)
