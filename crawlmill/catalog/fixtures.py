@@ -56,6 +56,7 @@ EXTRA_MARKUP = (
     '<script>var s = "<a href=\'/hidden/{id}\'>";</script>'
 )
 
+TREE = 4  # source of the links between pages, after href, onclick and image
 SITEMAP_BLOCK = 1000  # pages per sitemap file
 SITEMAP_HEAD = '<?xml version="1.0"?><urlset>'
 
@@ -142,25 +143,30 @@ def tree_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return child.select(F.explode(both).alias("e")).select("e.src", "e.dst")
 
 
-def enriched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages with more markup and with links to their neighbours in the tree."""
-    base = pages(spark, sf_dir)
-    targets = base.select(F.col("page_id").alias("dst"), F.col("url").alias("target"))
-    anchors = (
-        tree_edges(spark, sf_dir).join(targets, "dst")
-        .groupBy(F.col("src").alias("page_id"))
-        .agg(F.array_sort(F.collect_list(F.struct("dst", "target"))).alias("near"))
-        .select("page_id", F.array_join(F.transform(
-            "near", lambda n: F.concat(F.lit('<a href="'), n["target"], F.lit('">n</a>'))
-        ), "").alias("anchors"))
+def tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree as raw links behind all others of a page, for the given pages do not link
+    to each other. Only ids and URLs are joined."""
+    own = pages(spark, sf_dir).select(
+        F.col("page_id").alias("dst"), F.col("url").alias("raw")
     )
-    extra = F.replace(F.lit(EXTRA_MARKUP), F.lit("{id}"), F.col("page_id").cast("string"))
-    return base.join(anchors, "page_id", "left").select(
-        "page_id", "url",
-        F.concat("html", extra, F.coalesce("anchors", F.lit(""))).alias("html"),
+    base = pages(spark, sf_dir).select(
+        "page_id", F.col("url").alias("from_url"), url_scheme(F.col("url")).alias("scheme"),
+        url_netloc(F.col("url")).alias("host"),
+    )
+    edges = tree_edges(spark, sf_dir).withColumnRenamed("src", "page_id")
+    near = F.greatest(F.col("dst") - 2 * F.col("page_id"), F.lit(0)).cast("int")
+    return edges.join(own, "dst").join(base, "page_id").select(
+        "page_id", "from_url", "scheme", "host", F.lit(TREE).alias("source"),
+        near.alias("pos"), "raw",
     )
 
 
+def enriched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with more markup behind them."""
+    extra = F.replace(F.lit(EXTRA_MARKUP), F.lit("{id}"), F.col("page_id").cast("string"))
+    return pages(spark, sf_dir).select("page_id", "url", F.concat("html", extra).alias("html"))
+
+
 def status_of(page_id: Column) -> Column:
     last = page_id % 10
     return F.when(last == 1, 404).when(last == 2, 500).when(last != 0, 200).cast("int")

@@ -140,12 +140,11 @@ STEPS: dict[str, str] = {
     "tree": """
         SELECT (page_id - 1) // 2 AS src, page_id AS dst FROM pages WHERE page_id > 0
         UNION ALL SELECT page_id, (page_id - 1) // 2 FROM pages WHERE page_id > 0""",
-    "anchors": """
-        SELECT src AS page_id, string_agg('<a href="' || url || '">n</a>', '' ORDER BY dst) AS near
-        FROM tree JOIN pages ON page_id = dst GROUP BY src""",
-    "enriched": f"""
-        SELECT p.page_id, p.url, p.html || {EXTRA} || coalesce(near, '') AS html
-        FROM pages p LEFT JOIN anchors a ON a.page_id = p.page_id""",
+    "tree_links": """
+        SELECT t.src AS page_id, p.url, CAST(greatest(dst - 2 * t.src, 0) AS INTEGER) AS pos,
+               q.url AS raw
+        FROM tree t JOIN pages p ON p.page_id = t.src JOIN pages q ON q.page_id = t.dst""",
+    "enriched": f"SELECT p.page_id, p.url, p.html || {EXTRA} AS html FROM pages p",
     "response": """
         SELECT page_id, url, html, CAST(CASE page_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 404
                    WHEN 2 THEN 500 ELSE 200 END AS INTEGER) AS status,
@@ -182,7 +181,10 @@ STEPS: dict[str, str] = {
                replace(CASE WHEN left(val, 1) IN ('"', '''') THEN substr(val, 2, length(val) - 2)
                        ELSE val END, '&amp;', '&') AS raw
         FROM (SELECT page_id, url, source, unnest(vals) AS val,
-                     generate_subscripts(vals, 1) AS n FROM found)""",
+                     generate_subscripts(vals, 1) AS n FROM found)
+        UNION ALL
+        SELECT page_id, url, {X.TREE}, pos, {_scheme('url')}, {_netloc('url')}, raw
+        FROM tree_links""",
     "link_targets": f"""
         SELECT *, CASE WHEN source = 2 THEN replace(replace(raw,
                    regexp_extract(raw, {_text(C.ONCLICK_ASSIGNMENT)}), ''), '''', '')
@@ -270,6 +272,25 @@ STEPS: dict[str, str] = {
                          coalesce({_netloc('loc')}, domain) AS netloc, {_path('loc')} AS path
                   FROM locs))
         WHERE url IS NOT NULL AND regexp_matches(netloc, {SCOPE})""",
+    "seed": "SELECT 'http://' || domain || '/' AS url FROM hosts ORDER BY id LIMIT 1",
+    "met": """
+        SELECT url FROM page_links UNION SELECT url FROM loc_urls UNION SELECT url FROM seed""",
+    "met_verdicts": f"""
+        SELECT m.url, {_domain('m.url')} AS domain, coalesce(arg_min(r.allow, r.pos), true) AS allowed
+        FROM met m LEFT JOIN rules r ON r.domain = {_domain('m.url')} AND starts_with(
+            {_robots_quote("url_decode(regexp_extract(m.url, '^[a-z]+://[^/]*(.*)$', 1))")}, r.prefix)
+        GROUP BY m.url""",
+    "outcomes": """
+        SELECT m.url, m.domain, CASE WHEN NOT allowed THEN 'FORBIDDEN'
+                   WHEN status < 400 THEN 'HTML' ELSE 'FRONTIER' END AS page_type_code,
+               CASE WHEN allowed THEN status END AS http_status_code
+        FROM met_verdicts m LEFT JOIN page_ids p ON p.url = m.url
+        LEFT JOIN (SELECT page_id, status FROM response) ON page_id = p.id""",
+    "leads": """
+        SELECT DISTINCT c.url AS from_url, l.url AS to_url
+        FROM page_links l JOIN page_ids c ON c.id = l.page_id
+        JOIN outcomes o ON o.url = c.url WHERE o.page_type_code = 'HTML'""",
+    "located": "SELECT DISTINCT domain, url FROM loc_urls",
     # --- page state and content -----------------------------------------------------------
     "moves": """
         SELECT page_id, CASE WHEN status IS NULL THEN old_type
@@ -301,7 +322,8 @@ STEPS: dict[str, str] = {
               FROM batch)""",
     "stored_links": """
         SELECT l.* REPLACE (j.url AS from_url) FROM links l
-        JOIN (SELECT page_id, url FROM judged WHERE store_content) j USING (page_id)""",
+        JOIN (SELECT page_id, url FROM judged WHERE store_content) j USING (page_id)
+        WHERE source < 4""",
     "batch_found": f"""
         SELECT *, {_domain('url')} AS domain FROM (
             SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id, source, pos) AS rn
@@ -320,7 +342,7 @@ STEPS: dict[str, str] = {
             SELECT id FROM queue_site WHERE next_acces IS NULL OR next_acces <= {AS_OF})""",
     "edges": """
         SELECT DISTINCT c.url AS from_url, l.url AS to_url
-        FROM any_links l JOIN canon c USING (page_id) WHERE cls = 'page' AND source < 3""",
+        FROM any_links l JOIN canon c USING (page_id) WHERE cls = 'page'""",
 }
 
 
@@ -413,8 +435,8 @@ def sql() -> dict[str, str]:
         "links_img": f"SELECT {LINK_COLUMNS} FROM links WHERE source = 3",
         "link_class": """
             SELECT source, cls, count(*) AS n_links, count(DISTINCT url) AS n_urls
-            FROM links GROUP BY source, cls""",
-        "links_all": "SELECT page_id, source, pos, url FROM page_links",
+            FROM links WHERE source < 4 GROUP BY source, cls""",
+        "links_all": "SELECT page_id, source, pos, url FROM page_links WHERE source < 3",
         "first_discovery": "SELECT url, page_id, from_url, source, pos FROM firsts",
         "unseen_urls": "SELECT url FROM fresh",
         "new_sites": f"""
@@ -458,7 +480,7 @@ def sql() -> dict[str, str]:
                    'FRONTIER' AS page_type_code, {AS_OF} AS accessed_time, {AS_OF} AS time_added
             FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY domain, block, pos) AS rn
                   FROM loc_urls)
-            WHERE rn = 1 AND url NOT IN (SELECT url FROM page_links)""",
+            WHERE rn = 1 AND url NOT IN (SELECT url FROM page_links WHERE source < 3)""",
         "frontier_ready": "SELECT * FROM ready",
         "frontier_pop": "SELECT * FROM ready ORDER BY time_added, page_id LIMIT 1",
         "frontier_occupy": """
@@ -511,10 +533,23 @@ def sql() -> dict[str, str]:
                 WHERE level < 40)
             -- result
             SELECT url, min(level) AS level FROM reach GROUP BY url""",
+        "crawl_replay": f"""
+            reach AS (
+                SELECT url, 0 AS level FROM seed
+                UNION
+                SELECT to_url, level + 1 FROM (
+                    SELECT e.to_url, level FROM reach JOIN leads e ON e.from_url = reach.url
+                    UNION ALL
+                    SELECT s.url, level FROM reach
+                    JOIN located s ON s.domain = {_domain('reach.url')})
+                WHERE level < 40)
+            -- result
+            SELECT o.url, o.domain, page_type_code, http_status_code, min(level) AS round
+            FROM reach JOIN outcomes o ON o.url = reach.url GROUP BY ALL""",
         "stream_new_urls": f"""
             SELECT DISTINCT url FROM (
                 SELECT l.url FROM page_links l JOIN pages p USING (page_id)
-                WHERE contains(regexp_replace(p.html, '(?is)<!--.*?-->|<head>.*?</head>', '', 'g'),
+                WHERE source < 3 AND contains(regexp_replace(p.html, '(?is)<!--.*?-->|<head>.*?</head>', '', 'g'),
                                'href="' || replace(l.raw, '&', '&amp;') || '"'))""",
     }
     result = {name: _with(body) for name, body in plain.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from crawlmill.operators import (
 from crawlmill.operators.links import extract_links, page_links
 from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.page_step import process_batch as run_batch
-from crawlmill.plans.replay import prepare_corpus, replay
+from crawlmill.plans.replay import Replay, prepare_corpus, replay
 from crawlmill.session import materialize, new_work_path
 from crawlmill.sources import readers, writers
 from crawlmill.streaming import jobs
@@ -40,8 +41,12 @@ def _links(spark: SparkSession, sf_dir: str, sources=(L.HREF, L.ONCLICK, L.IMAGE
     )
 
 
-def _page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_links(_links(spark, sf_dir, (L.HREF, L.ONCLICK)))
+def _page_links(spark: SparkSession, sf_dir: str, search_domains=X.SEARCH_DOMAINS) -> DataFrame:
+    """Links to further pages: those in the markup and those of the tree."""
+    keep, sources = ("page_id",), (L.HREF, L.ONCLICK)
+    arrays = L.link_arrays(X.enriched_pages(spark, sf_dir), keep, sources)
+    raw = L.raw_links(arrays, keep, sources).unionByName(X.tree_links(spark, sf_dir))
+    return page_links(L.classified_links(raw, search_domains))
 
 
 LINK_ORDER = ["page_id", "source", "pos"]
@@ -237,7 +242,8 @@ def link_class(spark, sf_dir):
 
 @query
 def links_all(spark, sf_dir):
-    return _page_links(spark, sf_dir).select("page_id", "source", "pos", "url")
+    links = page_links(_links(spark, sf_dir, (L.HREF, L.ONCLICK)))
+    return links.select("page_id", "source", "pos", "url")
 
 
 # --- discovery ---------------------------------------------------------------------
@@ -401,9 +407,7 @@ def fetch_decision(spark, sf_dir):
 
 @query
 def site_update(spark, sf_dir):
-    return R.site_update(
-        X.sites(spark, sf_dir), _decisions(spark, sf_dir), _states(spark, sf_dir), X.AS_OF
-    )
+    return R.site_update(_decisions(spark, sf_dir), X.AS_OF)
 
 
 @query
@@ -429,7 +433,7 @@ def sitemap_locs(spark, sf_dir):
 @query
 def sitemap_frontier(spark, sf_dir):
     """Sitemap pages that no page of the corpus links to."""
-    known = _page_links(spark, sf_dir)
+    known = page_links(_links(spark, sf_dir, (L.HREF, L.ONCLICK)))
     return R.sitemap_frontier(
         X.sitemaps(spark, sf_dir), known, X.AS_OF, X.SEARCH_DOMAINS, ("domain", "block"),
     )
@@ -558,8 +562,8 @@ def process_batch(spark, sf_dir):
 @query
 def fk_violations(spark, sf_dir):
     """Checks over derived tables, some of which point at rows that do not exist."""
-    links = _links(spark, sf_dir)
-    page = _page_snapshot(spark, sf_dir).join(
+    links = materialize(_links(spark, sf_dir).select("page_id", "url", "cls"), "links")
+    page = apply_updates(spark, sf_dir).join(
         X.sites(spark, sf_dir).select(F.col("id").alias("site_id"), "domain"), "domain"
     )
     codes = T.code_tables(spark)
@@ -595,9 +599,7 @@ def crawl_report(spark, sf_dir):
 def _corpus_edges(spark, sf_dir) -> DataFrame:
     """Page links to any host, by the canonical URL of the linking page."""
     own = X.canonical_pages(spark, sf_dir).select("page_id", F.col("url").alias("own_url"))
-    links = page_links(
-        extract_links(X.enriched_pages(spark, sf_dir), sources=(L.HREF, L.ONCLICK))
-    )
+    links = _page_links(spark, sf_dir, ())
     return links.join(own, "page_id").select(
         F.col("own_url").alias("from_url"), "url", "page_id", "source", "pos"
     )
@@ -612,9 +614,8 @@ def bfs_levels(spark, sf_dir):
     return search_levels(edges, seeds, ("page_id", "source", "pos")).select("url", "level")
 
 
-@query
-def crawl_replay(spark, sf_dir):
-    """A whole crawl from the host roots, with robots, sitemaps, errors and copies."""
+def _replay(spark, sf_dir) -> Replay:
+    """A whole crawl from the first host, with robots, sitemaps, errors and copies."""
     sites = X.sites(spark, sf_dir).select("id", "domain", "robots_content")
     located = sites.drop("id").join(
         X.sitemaps(spark, sf_dir).select("domain", "sitemap_content"), "domain"
@@ -623,18 +624,32 @@ def crawl_replay(spark, sf_dir):
         X.responses(spark, sf_dir).select("page_id", "url", "html", "status"),
         located, X.SEARCH_DOMAINS,
     )
-    seeds = sites.select(
+    own = X.canonical_pages(spark, sf_dir).select("page_id", F.col("url").alias("own_url"))
+    tree = page_links(L.classified_links(X.tree_links(spark, sf_dir), X.SEARCH_DOMAINS))
+    tree = tree.join(own, "page_id").select(F.col("own_url").alias("from_url"), "source", "pos", "url")
+    corpus = replace(
+        corpus, links=materialize(corpus.links.unionByName(tree), "links-with-tree")
+    )
+    seeds = sites.orderBy("id").limit(1).select(
         F.concat(F.lit("http://"), "domain", F.lit("/")).alias("url"),
         F.col("id").alias("seed_order"),
     )
-    result = replay(corpus, seeds)
-    parents = result.links.withColumnRenamed("to_url", "url")
-    return result.pages.join(parents, "url", "left").select(
-        "url", "domain", "page_type_code", "http_status_code", "round",
-        F.coalesce("from_url", F.lit("")).alias("from_url"),
+    return replay(corpus, seeds)
+
+
+@query
+def crawl_replay(spark, sf_dir):
+    return _replay(spark, sf_dir).pages.select(
+        "url", "domain", "page_type_code", "http_status_code", "round"
     )
 
 
+@query
+def crawl_replay_links(spark, sf_dir):
+    """The discovery links of the same crawl; they depend on the order of the queue."""
+    return _replay(spark, sf_dir).links
+
+
 @query
 def stream_new_urls(spark, sf_dir):
     root = new_work_path(spark, "new-urls")

@@ -104,18 +104,11 @@ def discover(
 def seed_frontier(
     seeds: DataFrame, frontier: DataFrame, pages: DataFrame, as_of: datetime
 ) -> DataFrame:
-    """Frontier rows for the seed URLs, taken as they are.
-
-    Seeds count only while the frontier is empty. That is part of the plan, not a
-    decision of the driver: an empty frontier is one flag that joins every seed.
-    """
-    queue = frontier.limit(1).agg((F.count(F.lit(1)) == 0).alias("_empty"))
+    """Rows for the seed URLs, taken as they are; none unless the frontier is empty."""
     fresh = unseen_urls(first_per_key(seeds, ["url"], [F.col("seed_order")]), pages)
-    return (
-        fresh.withColumn("_wanted", F.lit(True))
-        .join(queue, F.col("_wanted") == F.col("_empty"), "left_semi")
-        .select(
-            "url", site_of(F.col("url")).alias("domain"),
-            F.lit("FRONTIER").alias("page_type_code"), ntz(as_of).alias("time_added"),
-        )
+    if not frontier.isEmpty():
+        fresh = fresh.limit(0)
+    return fresh.select(
+        "url", site_of(F.col("url")).alias("domain"),
+        F.lit("FRONTIER").alias("page_type_code"), ntz(as_of).alias("time_added"),
     )

@@ -18,13 +18,13 @@ from crawlmill.session import materialize
 MAX_GROUP_ROWS = 2_000_000
 
 
-def with_sequence(df: DataFrame, order: Sequence[Column | str], out: str, label: str) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """Add increasing unique numbers that follow ``order`` over the whole table.
 
-    The numbers have gaps. The result is written once, so they never change again.
+    The numbers have gaps: they are the place in a sorted partition, behind the number of
+    the partition. Write the result before using it twice, so that they never change.
     """
-    numbered = df.orderBy(*order).withColumn(out, F.monotonically_increasing_id())
-    return materialize(numbered, label)
+    return df.orderBy(*order).withColumn(out, F.monotonically_increasing_id())
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -75,9 +75,8 @@ def rank_in_group(
 
 
 def _rank_from_sort(df: DataFrame, group: str, order: Sequence[Column | str], out: str) -> DataFrame:
-    placed = with_sequence(df, [F.col(group), *order], "_seq", "sorted-groups").withColumn(
-        "_slice", F.shiftright("_seq", 33)
-    )
+    placed = materialize(numbered(df, [F.col(group), *order], "_seq"), "sorted-groups")
+    placed = placed.withColumn("_slice", F.shiftright("_seq", 33))
     # One row per group and sorted slice; a slice is a contiguous run of its group.
     runs = placed.groupBy(group, "_slice").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_start")

@@ -204,25 +204,23 @@ def fetch_decisions(urls: DataFrame, states: DataFrame, as_of: datetime) -> Data
     return timed.withColumn("decision", decision)
 
 
-def site_update(sites: DataFrame, decisions: DataFrame, states: DataFrame, as_of: datetime) -> DataFrame:
+def site_update(decisions: DataFrame, as_of: datetime) -> DataFrame:
     """New values of the visited sites: ``domain, next_acces, delay``.
 
     The next access moves on the first visit, whatever the verdict, and later only if
-    something is fetched. Visits are reduced to one row per site before the join.
+    something is fetched. The decisions carry the state of their site, so one aggregation
+    is enough, and it reduces a site to one row per task before the shuffle.
     """
-    visits = decisions.groupBy("domain").agg(
-        F.max((F.col("decision") == FETCH).cast("int")).alias("_fetched")
+    visits = decisions.where(F.col("first_visit").isNotNull()).groupBy("domain").agg(
+        F.max(F.col("decision") == FETCH).alias("_fetched"),
+        *[F.any_value(c).alias(c) for c in ("first_visit", "next_acces", "delay")],
     )
-    moved = F.col("first_visit") | (F.col("_fetched") == 1)
-    return (
-        visits.join(states.select("domain", "first_visit", "next_acces", "delay"), "domain")
-        .join(sites.select("domain"), "domain", "left_semi")
-        .select(
-            "domain",
-            F.when(moved, plus_seconds(ntz(as_of), F.col("delay")))
-            .otherwise(F.col("next_acces")).alias("next_acces"),
-            F.col("delay").cast("short").alias("delay"),
-        )
+    moved = F.col("first_visit") | F.col("_fetched")
+    return visits.select(
+        "domain",
+        F.when(moved, plus_seconds(ntz(as_of), F.col("delay")))
+        .otherwise(F.col("next_acces")).alias("next_acces"),
+        F.col("delay").cast("short").alias("delay"),
     )
 
 

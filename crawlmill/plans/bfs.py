@@ -13,14 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlmill.operators.discovery import first_discovery, unseen_urls
-from crawlmill.operators.ranking import with_sequence
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+from crawlmill.operators.ranking import numbered
+from crawlmill.session import History
 
 
 def bfs_levels(
@@ -36,20 +30,17 @@ def bfs_levels(
     Seeds have no ``from_url``. Edges bucketed by ``from_url`` are joined without being
     shuffled (see ``write_bucketed``).
     """
-    start = first_discovery(seeds, [F.col("seed_order")]).select(
+    start = first_discovery(seeds, ["seed_order"]).select(
         "url", F.lit(0).alias("level"), F.lit(None).cast("string").alias("from_url"), "seed_order"
     )
-    levels = [with_sequence(start, [F.col("seed_order")], "seq", "bfs-0").drop("seed_order")]
-    while max_depth is None or len(levels) <= max_depth:
-        depth = len(levels)
-        parents = levels[-1].select(F.col("url").alias("from_url"), F.col("seq").alias("_parent"))
+    found = History(edges.sparkSession, "bfs")
+    level = found.add(numbered(start, ["seed_order"], "seq").drop("seed_order"))
+    queue = ["_parent", *order]
+    while not level.isEmpty() and (max_depth is None or len(found) <= max_depth):
+        parents = level.select(F.col("url").alias("from_url"), F.col("seq").alias("_parent"))
         met = edges.select("from_url", "url", *order).join(parents, "from_url")
-        queue = [F.col("_parent"), *[F.col(c) for c in order]]
-        fresh = unseen_urls(first_discovery(met, queue), union_all(levels)).select(
-            "url", F.lit(depth).alias("level"), "from_url", "_parent", *order
+        fresh = unseen_urls(first_discovery(met, queue), found.all()).select(
+            "url", F.lit(len(found)).alias("level"), "from_url", *queue
         )
-        level = with_sequence(fresh, queue, "seq", f"bfs-{depth}").drop("_parent", *order)
-        if level.isEmpty():
-            break
-        levels.append(level)
-    return union_all(levels)
+        level = found.add(numbered(fresh, queue, "seq").drop(*queue))
+    return found.all()

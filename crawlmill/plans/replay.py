@@ -19,12 +19,11 @@ from crawlmill.functions.urls import site_of, with_canonical_url
 from crawlmill.operators import links as L
 from crawlmill.operators.content import content_verdicts
 from crawlmill.operators.discovery import first_discovery, storable, unseen_urls
-from crawlmill.operators.ranking import first_per_key, with_sequence
+from crawlmill.operators.ranking import first_per_key, numbered
 from crawlmill.operators.robots import robots_policies, robots_verdicts, sitemap_urls
 from crawlmill.operators.transitions import page_transitions
-from crawlmill.plans.bfs import union_all
 from crawlmill.plans.page_step import feature_links, page_features
-from crawlmill.session import materialize
+from crawlmill.session import History, materialize
 
 SITEMAP = 0  # sitemap URLs are queued before the links of the page that led there
 
@@ -68,7 +67,9 @@ def prepare_corpus(
     chosen = first_per_key(features.select("url", "page_id"), ["url"], [F.col("page_id")])
     features = features.join(chosen.select("page_id"), "page_id", "left_semi")
     links = L.page_links(feature_links(features, ("page_id",), search_domains))
-    policies = robots_policies(sites.select("domain", "robots_content").distinct())
+    policies = robots_policies(
+        sites.groupBy("domain").agg(F.max("robots_content").alias("robots_content"))
+    )
     located = sitemap_urls(
         sites.where(F.col("sitemap_content").isNotNull()), search_domains, ("domain",)
     )
@@ -96,43 +97,39 @@ def replay(
     """
     if not final_dequeue and max_rounds is None:
         raise ValueError("max_rounds is needed if failed pages are queued again")
-    start = first_discovery(seeds, [F.col("seed_order")]).select(
-        "url", F.lit(None).cast("string").alias("from_url"),
+    spark = seeds.sparkSession
+    queues, outcomes = History(spark, "replay-queue"), History(spark, "replay-outcome")
+    start = first_discovery(seeds, ["seed_order"]).select(
+        "url", site_of(F.col("url")).alias("domain"),
+        F.lit(None).cast("string").alias("from_url"),
         F.lit("FRONTIER").alias("old_type"), F.lit(None).cast("int").alias("old_status"),
         F.lit(True).alias("new"), "seed_order",
     )
-    queue = with_sequence(start, [F.col("seed_order")], "seq", "replay-0").drop("seed_order")
-    queues: list[DataFrame] = []
-    outcomes: list[DataFrame] = []
-    visits: list[DataFrame] = []
-    while max_rounds is None or len(outcomes) < max_rounds:
-        if queue.isEmpty():
-            break
-        number = len(outcomes)
-        queues.append(queue)
-        outcome = materialize(_judge(corpus, queue, outcomes, final_dequeue).withColumn(
-            "round", F.lit(number)
-        ), f"replay-outcome-{number}")
-        visit = _first_visits(queue, visits)
-        outcomes.append(outcome)
-        visits.append(visit)
-        queue = _next_queue(corpus, outcome, visit, queues, number + 1)
-    return _result(queues, outcomes, queue)
+    queue = queues.add(numbered(start, ["seed_order"], "seq").drop("seed_order"))
+    visited = None
+    while not queue.isEmpty() and (max_rounds is None or len(outcomes) < max_rounds):
+        outcome = outcomes.add(_judge(
+            corpus, queue, outcomes.all() if outcomes else None, final_dequeue
+        ).withColumn("round", F.lit(len(outcomes))))
+        visits = _first_visits(queue, visited)
+        visited = queues.all().select("domain")
+        following = _next_queue(corpus, outcome, visits, queues.all())
+        queue = queues.add(following)
+    return _result(queues.all(), outcomes.all() if outcomes else None, queue)
 
 
 def _judge(
-    corpus: Corpus, queue: DataFrame, earlier: Sequence[DataFrame], final_dequeue: bool
+    corpus: Corpus, queue: DataFrame, earlier: DataFrame | None, final_dequeue: bool
 ) -> DataFrame:
     """Verdicts and new page values for one round of the queue."""
-    asked = queue.select("url", "seq", "old_type", "old_status", site_of(F.col("url")).alias("domain"))
+    asked = queue.select("url", "domain", "seq", "old_type", "old_status")
     judged = robots_verdicts(asked, corpus.policies).join(corpus.features, "url", "left")
     allowed = F.col("allowed")
     fetched = judged.withColumns({
         "status": F.when(allowed, F.col("status")),
         "content_hash": F.when(allowed, F.col("content_hash")),
     })
-    known = union_all(earlier).where(F.col("content_hash").isNotNull()) if earlier else None
-    compared = content_verdicts(fetched, ("seq",), known, key="url")
+    compared = content_verdicts(fetched, ("seq",), earlier, key="url")
     moved = page_transitions(
         compared.withColumn("is_dup", F.col("page_type_code") == "DUPLICATE"), final_dequeue
     )
@@ -146,60 +143,52 @@ def _judge(
     )
 
 
-def _first_visits(queue: DataFrame, earlier: Sequence[DataFrame]) -> DataFrame:
+def _first_visits(queue: DataFrame, visited: DataFrame | None) -> DataFrame:
     """Domains met for the first time, with the place of the URL that led there."""
-    met = queue.groupBy(site_of(F.col("url")).alias("domain")).agg(F.min("seq").alias("seq"))
-    if earlier:
-        met = met.join(union_all(earlier).select("domain"), "domain", "left_anti")
-    return materialize(met, "replay-visits")
+    met = queue.groupBy("domain").agg(F.min("seq").alias("_parent"))
+    if visited is None:
+        return met
+    return met.join(visited.distinct(), "domain", "left_anti")
 
 
 def _next_queue(
-    corpus: Corpus, outcome: DataFrame, visit: DataFrame, queues: Sequence[DataFrame], number: int
+    corpus: Corpus, outcome: DataFrame, visits: DataFrame, queued: DataFrame
 ) -> DataFrame:
+    """New URLs of the sitemaps and links, and those to be tried again, in queue order."""
+    no_parent = F.lit(None).cast("string").alias("from_url")
     parents = outcome.where(F.col("store_content")).select(
         F.col("url").alias("from_url"), F.col("seq").alias("_parent")
     )
     followed = corpus.links.join(parents, "from_url")
-    located = corpus.sitemaps.join(
-        visit.select("domain", F.col("seq").alias("_parent")), "domain"
-    ).select(
-        F.lit(None).cast("string").alias("from_url"),
-        F.lit(SITEMAP).alias("source"), "pos", "url", "_parent",
+    located = corpus.sitemaps.join(visits, "domain").select(
+        no_parent, F.lit(SITEMAP).alias("source"), "pos", "url", "_parent"
     )
-    order = [F.col("_parent"), F.col("source"), F.col("pos")]
+    order = ["_parent", "source", "pos"]
     found = first_discovery(followed.unionByName(located), order)
-    seen = union_all([q.select("url") for q in queues])
-    fresh = unseen_urls(found, seen).withColumns({
+    fresh = unseen_urls(found, queued).withColumns({
         "old_type": F.lit("FRONTIER"), "old_status": F.lit(None).cast("int"), "new": F.lit(True),
     })
     again = outcome.where(F.col("requeue")).select(
-        F.lit(None).cast("string").alias("from_url"), F.lit(SITEMAP).alias("source"),
-        F.lit(-1).alias("pos"), "url", F.col("seq").alias("_parent"),
-        F.col("page_type_code").alias("old_type"), F.col("http_status_code").alias("old_status"),
-        F.lit(False).alias("new"),
+        no_parent, F.lit(SITEMAP).alias("source"), F.lit(-1).alias("pos"), "url",
+        F.col("seq").alias("_parent"), F.col("page_type_code").alias("old_type"),
+        F.col("http_status_code").alias("old_status"), F.lit(False).alias("new"),
+    )
+    return numbered(fresh.unionByName(again), order, "seq").select(
+        "url", site_of(F.col("url")).alias("domain"), "from_url", "old_type", "old_status",
+        "new", "seq",
     )
-    return with_sequence(
-        fresh.unionByName(again), order, "seq", f"replay-{number}"
-    ).drop("_parent", "source", "pos")
 
 
-def _result(
-    queues: Sequence[DataFrame], outcomes: Sequence[DataFrame], rest: DataFrame
-) -> Replay:
-    queued = union_all([*queues, rest])
+def _result(queued: DataFrame, outcomes: DataFrame | None, rest: DataFrame) -> Replay:
     values = ["url", "domain", "page_type_code", "http_status_code", "content_hash", "round"]
-    waiting = rest.where(F.col("new")).select(
-        "url", site_of(F.col("url")).alias("domain"),
-        F.col("old_type").alias("page_type_code"), F.col("old_status").alias("http_status_code"),
+    pages = rest.where(F.col("new")).select(
+        "url", "domain", F.col("old_type").alias("page_type_code"),
+        F.col("old_status").alias("http_status_code"),
         F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("int").alias("round"),
     )
-    if outcomes:
-        done = union_all([o.select(*values) for o in outcomes])
-        last = first_per_key(done, ["url"], [F.col("round").desc()])
-        pages = last.unionByName(waiting)
-    else:
-        pages = waiting
+    if outcomes is not None:
+        last = first_per_key(outcomes.select(*values), ["url"], [F.col("round").desc()])
+        pages = last.unionByName(pages)
     links = queued.where(F.col("new") & F.col("from_url").isNotNull()).select(
         "from_url", F.col("url").alias("to_url")
     )

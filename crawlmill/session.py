@@ -61,3 +61,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class History:
+    """Written tables of one schema that grow step by step, read together as one."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self._spark = spark
+        self._root = new_work_path(spark, label)
+        self._schema = None
+        self._paths: list[str] = []
+
+    def __len__(self) -> int:
+        return len(self._paths)
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write the next step and give it back as a table of its own."""
+        path = f"{self._root}/{len(self._paths)}"
+        df.write.parquet(path)
+        self._schema = df.schema
+        self._paths.append(path)
+        return self._spark.read.schema(self._schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        """All steps so far, as one scan."""
+        return self._spark.read.schema(self._schema).parquet(*self._paths)

@@ -4,7 +4,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from crawlmill.operators import frontier as FR
-from crawlmill.operators.ranking import first_n_per_key, rank_in_group, with_sequence
+from crawlmill.operators.ranking import first_n_per_key, numbered, rank_in_group
 
 AS_OF = datetime(2024, 1, 1, 12)
 T0 = datetime(2024, 1, 1)
@@ -92,6 +92,6 @@ def test_hot_group_is_split(spark):
 
 def test_sequence_follows_the_order(spark):
     df = spark.range(0, 1000, 1, 5).select(((F.col("id") * 7919) % 1000).alias("k"))
-    got = with_sequence(df, ["k"], "seq", "t").orderBy("seq").collect()
+    got = numbered(df, ["k"], "seq").orderBy("seq").collect()
     assert [r["k"] for r in got] == list(range(1000))
     assert len({r["seq"] for r in got}) == 1000

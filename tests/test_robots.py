@@ -141,10 +141,10 @@ def test_decisions_and_site_update(spark):
     assert rows(decisions, "url", "decision") == expected
 
     only_forbidden = decisions.where("url like '%/no'")
-    update = dict((r[0], r[1:]) for r in rows(R.site_update(sites, only_forbidden, states, AS_OF)))
+    update = dict((r[0], r[1:]) for r in rows(R.site_update(only_forbidden, AS_OF)))
     assert update["first.si"] == (datetime(2024, 1, 1, 12, 0, 6), 6)  # moves although forbidden
     assert update["now.si"] == (AS_OF, 5)
-    every = dict((r[0], r[1:]) for r in rows(R.site_update(sites, decisions, states, AS_OF)))
+    every = dict((r[0], r[1:]) for r in rows(R.site_update(decisions, AS_OF)))
     assert every["now.si"] == (datetime(2024, 1, 1, 12, 0, 5), 5)
     assert every["early.si"] == (datetime(2024, 1, 1, 13), 5)
 
