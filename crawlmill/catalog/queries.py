@@ -436,7 +436,7 @@ def sitemap_frontier(spark, sf_dir):
     known = page_links(_links(spark, sf_dir, (L.HREF, L.ONCLICK)))
     return R.sitemap_frontier(
         X.sitemaps(spark, sf_dir), known, X.AS_OF, X.SEARCH_DOMAINS, ("domain", "block"),
-    )
+    ).drop("block", "pos")
 
 
 # --- frontier ----------------------------------------------------------------------

@@ -276,14 +276,14 @@ def sitemap_frontier(
     search_domains: Sequence[str] = (),
     order: Sequence[str] = ("domain",),
 ) -> DataFrame:
-    """New pages from sitemaps: ``url, site_domain, url_host`` and frontier values.
+    """New pages from sitemaps: ``url, site_domain, url_host``, frontier values, order columns.
 
     The page belongs to the requesting site even if its host is another one. Sitemap
     pages have no parent, so there are no links.
     """
-    keep = ["domain", *[c for c in order if c != "domain"]]
-    urls = storable(sitemap_urls(sitemaps, search_domains, keep))
-    ranked = first_discovery(urls, [*[F.col(c) for c in order], F.col("pos")])
+    own = [c for c in order if c != "domain"]
+    urls = storable(sitemap_urls(sitemaps, search_domains, ["domain", *own]))
+    ranked = first_discovery(urls, [*order, "pos"])
     return unseen_urls(ranked, known_pages).select(
         "url",
         F.col("domain").alias("site_domain"),
@@ -291,4 +291,5 @@ def sitemap_frontier(
         F.lit("FRONTIER").alias("page_type_code"),
         ntz(as_of).alias("accessed_time"),
         ntz(as_of).alias("time_added"),
+        *own, "pos",
     )
