@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from crawlmill.operators import (
 )
 from crawlmill.operators.links import extract_links, page_links
 from crawlmill.plans.bfs import bfs_levels as search_levels
+from crawlmill.plans.crawl_db import CrawlDb
 from crawlmill.plans.page_step import process_batch as run_batch
 from crawlmill.plans.replay import Replay, prepare_corpus, replay
 from crawlmill.session import materialize, new_work_path
@@ -307,15 +309,19 @@ def discover(spark, sf_dir):
 
 
 def _page_ids(spark, sf_dir) -> DataFrame:
-    """Page id by canonical URL; the first page has the URL."""
-    return X.canonical_pages(spark, sf_dir).groupBy("url").agg(F.min("page_id").alias("id"))
+    """Page id by canonical URL, written once; the first page has the URL."""
+    return materialize(
+        X.canonical_pages(spark, sf_dir).groupBy("url").agg(F.min("page_id").alias("id")),
+        "page-ids",
+    )
 
 
 @query
 def page_by_url(spark, sf_dir):
-    return _page_links(spark, sf_dir).select("page_id", "url").join(
-        _page_ids(spark, sf_dir), "url"
-    ).select("page_id", "url", F.col("id").alias("target_id"))
+    links = _page_links(spark, sf_dir).select("page_id", "url")
+    return discovery.pages_by_url(links, _page_ids(spark, sf_dir)).select(
+        "page_id", "url", "target_id"
+    )
 
 
 @query
@@ -371,8 +377,9 @@ def content_dup_semi(spark, sf_dir):
 # --- robots and politeness -----------------------------------------------------------
 
 def _states(spark, sf_dir) -> DataFrame:
+    """State of every site, written once as a crawl keeps it."""
     current = R.with_current_robots(X.sites(spark, sf_dir), X.fetched_robots(spark, sf_dir))
-    return R.site_states(current)
+    return materialize(R.site_states(current), "states")
 
 
 def _decisions(spark, sf_dir) -> DataFrame:
@@ -395,9 +402,8 @@ def crawl_delay(spark, sf_dir):
 @query
 def robots_verdict(spark, sf_dir):
     urls = X.canonical_pages(spark, sf_dir).select("page_id", "url", "domain")
-    return R.robots_verdicts(urls, R.robots_policies(X.sites(spark, sf_dir))).select(
-        "page_id", "url", "allowed"
-    )
+    policies = materialize(R.robots_policies(X.sites(spark, sf_dir)), "policies")
+    return R.robots_verdicts(urls, policies).select("page_id", "url", "allowed")
 
 
 @query
@@ -650,6 +656,30 @@ def crawl_replay_links(spark, sf_dir):
     return _replay(spark, sf_dir).links
 
 
+@query
+def crawl_round(spark, sf_dir):
+    """Two rounds through the table versions: host roots, then the pages of their sitemaps."""
+    sites = X.sites(spark, sf_dir)
+    seeds = sites.select(
+        F.col("id").alias("seed_order"),
+        F.concat(F.lit("http://"), "domain", F.lit("/")).alias("url"),
+    )
+    robots = sites.select("domain", "robots_content").join(
+        X.sitemaps(spark, sf_dir).where(F.col("block") == 0).select("domain", "sitemap_content"),
+        "domain", "left",
+    )
+    corpus = X.responses(spark, sf_dir).select("page_id", "status", "html").join(
+        _page_ids(spark, sf_dir).select(F.col("id").alias("page_id"), "url"), "page_id"
+    ).drop("page_id")
+    db = CrawlDb.create(spark, new_work_path(spark, "crawl")).start(seeds, X.AS_OF)
+    for hours in (0, 24):
+        now = X.AS_OF + timedelta(hours=hours)
+        db, todo = db.select(now, 5, robots, X.SEARCH_DOMAINS)
+        got = todo.join(corpus, "url", "left").select("page_id", "status", "html")
+        db = db.apply(got, now, X.SEARCH_DOMAINS)
+    return db.table("page").select("id", "site_id", "url", "page_type_code", "http_status_code")
+
+
 @query
 def stream_new_urls(spark, sf_dir):
     root = new_work_path(spark, "new-urls")

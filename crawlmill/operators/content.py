@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlmill.session import materialize
+
 
 def first_holders(pages: DataFrame, order: Sequence[str], key: str = "id") -> DataFrame:
     """Per content hash the id of the first page (``order``, then ``key``).
@@ -56,10 +58,15 @@ def seen_elsewhere(pages: DataFrame, stored: DataFrame, key: str = "id") -> Data
     """Pages for which a stored page with the same hash and another id exists.
 
     Two ids per hash (the least and the greatest) decide that for every page, so the
-    stored side shrinks to one row per hash before it is joined.
+    stored side shrinks to one row per hash. It is written before it is joined: the join
+    then reads a plain shuffle on both sides, which is what Spark can split where many
+    pages share a hash, and its measured size decides about a broadcast.
     """
-    ends = stored.where(F.col("content_hash").isNotNull()).groupBy("content_hash").agg(
-        F.min(key).alias("_least"), F.max(key).alias("_greatest")
+    ends = materialize(
+        stored.where(F.col("content_hash").isNotNull()).groupBy("content_hash").agg(
+            F.min(key).alias("_least"), F.max(key).alias("_greatest")
+        ),
+        "hash-ends",
     )
     other = (pages[key] != ends["_least"]) | (pages[key] != ends["_greatest"])
     return pages.join(

@@ -29,6 +29,15 @@ def unseen_urls(candidates: DataFrame, known: DataFrame) -> DataFrame:
     return candidates.join(known.select("url"), "url", "left_anti")
 
 
+def pages_by_url(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Links with the id of the page they lead to, as ``target_id``; others go.
+
+    ``pages(id, url)`` has unique URLs. Give a written table: Spark splits the links to a
+    hot page only if both sides of the join are plain shuffles.
+    """
+    return links.join(pages.select("url", F.col("id").alias("target_id")), "url")
+
+
 def new_sites(found: DataFrame, sites: DataFrame) -> DataFrame:
     """Domains of found URLs that have no site row."""
     return (

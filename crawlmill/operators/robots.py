@@ -125,8 +125,10 @@ def robots_verdicts(
 
     The first rule in file order whose prefix fits decides; no rule allows. All rules of
     a site travel in one row, so a URL joins one row and no URL is multiplied. No
-    broadcast is forced: Spark takes one only if the policies are measured to be small,
-    and otherwise splits a hot domain of URLs (adaptive skew join).
+    broadcast is forced: Spark takes one only if the policies are measured to be small.
+    Otherwise it splits a hot domain of URLs (adaptive skew join), which needs plain
+    shuffles on both sides: read the policies from a table, do not group them by domain
+    in the same plan.
     """
     joined = (
         urls.withColumn("_path", _robots_path(F.col("url")))

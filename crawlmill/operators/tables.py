@@ -41,7 +41,8 @@ def with_surrogate_ids(
 
     The rows are sorted and written once. A row's id is its file's offset plus its place
     in the file, so no task sees more than its own file and a repeated task gives the
-    same ids. The offsets table has one row per file.
+    same ids. The offsets are broadcast: they are one row per written file, whatever the
+    number of rows.
     """
     staged = materialize(rows.orderBy(*order), "ids").select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
@@ -53,7 +54,7 @@ def with_surrogate_ids(
         .select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     return (
-        staged.join(offsets, "_file")
+        staged.join(F.broadcast(offsets), "_file")
         .withColumn(out, F.lit(last_id) + F.col("_offset") + F.col("_row") + 1)
         .select(out, *rows.columns)
     )

@@ -1,0 +1,120 @@
+"""One key holds a third of all rows: the joins split it and the results stay whole."""
+
+from datetime import datetime
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from crawlmill.operators import content, discovery, frontier as FR, reports, robots as R
+from crawlmill.operators.ranking import first_per_key
+from crawlmill.session import materialize
+
+N = 200_000
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def third(hot, other):
+    return F.when(F.col("id") % 3 == 0, hot).otherwise(other)
+
+
+def noise():
+    return F.md5(F.col("id").cast("string"))
+
+
+def final_plan(df):
+    """Plan after execution, with what adaptive execution made of it."""
+    query = df._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    return query.executedPlan().toString()
+
+
+def test_verdicts_split_a_hot_domain(spark, small_limits):
+    domain = third(F.lit("hot.si"), F.concat(F.lit("d"), (F.col("id") % 5000).cast("string")))
+    urls = spark.range(0, N, 1, 8).select(
+        domain.alias("domain"), F.concat(F.lit("http://x/"), noise()).alias("url"))
+    sites = materialize(urls.select("domain").distinct().withColumn(
+        "robots_content", F.lit("User-agent: *\nDisallow: /a")), "sites")
+    verdicts = R.robots_verdicts(urls, R.robots_policies(sites))
+    assert "skew=true" in final_plan(verdicts.select("url", "allowed"))
+    assert verdicts.count() == N
+    assert verdicts.where(~F.col("allowed")).count() == urls.where("url like 'http://x/a%'").count()
+
+
+def test_ready_pages_split_a_hot_site(spark, small_limits):
+    site = third(F.lit(1), 2 + F.col("id") % 5000).cast("long")
+    pages = spark.range(0, N, 1, 8).select("id", site.alias("site_id"))
+    sites = materialize(pages.select(F.col("site_id").alias("id")).distinct().withColumn(
+        "next_acces", F.lit(None).cast("timestamp_ntz")), "sites")
+    queue = pages.select(
+        F.col("id").alias("page_id"), F.lit(None).cast("timestamp_ntz").alias("time_added"),
+        F.lit(False).alias("occupied"))
+    ready = FR.ready_pages(queue, pages, sites, datetime(2024, 1, 1))
+    assert "skew=true" in final_plan(ready)
+    assert ready.count() == N
+
+
+def test_copies_split_in_the_semi_join(spark, small_limits):
+    pages = spark.range(0, N, 1, 8).select("id", third(F.md5(F.lit("hot")), noise()).alias("content_hash"), noise().alias("more"))
+    dup = content.seen_elsewhere(pages, pages)
+    assert "skew=true" in final_plan(dup)
+    assert dup.count() == len(range(0, N, 3))
+
+
+def test_verdicts_never_group_copies(spark, small_limits):
+    pages = spark.range(0, N, 1, 8).select("id", third(F.md5(F.lit("hot")), noise()).alias("content_hash"))
+    verdicts = content.content_verdicts(pages)
+    plan = plan_of(verdicts)
+    assert "hashpartitioning(content_hash" in plan  # only behind the partial aggregate
+    assert plan.count("hashpartitioning(content_hash") == 1
+    assert verdicts.where("page_type_code = 'DUPLICATE'").count() == len(range(0, N, 3)) - 1
+
+
+def test_first_discovery_of_a_hot_url(spark, small_limits):
+    links = spark.range(0, N, 1, 8).select(
+        third(F.lit("http://hot/"), F.concat(F.lit("http://x/"), noise())).alias("url"),
+        F.col("id").alias("page_id"))
+    first = discovery.first_discovery(links, ["page_id"])
+    assert first.count() == N - len(range(0, N, 3)) + 1
+    assert first.where("url = 'http://hot/'").first()["page_id"] == 0
+
+
+def test_link_graph_splits_a_hot_target(spark, small_limits):
+    links = spark.range(0, N, 1, 8).select(
+        noise().alias("from_url"), third(F.lit("http://hot/"), noise()).alias("url"))
+    pages = materialize(links.select("url").distinct(), "pages")
+    graph = reports.link_graph(links, pages)
+    assert "skew=true" in final_plan(graph)
+    degrees = reports.degrees(graph)
+    assert degrees.where("url = 'http://hot/'").first()["in_degree"] == len(range(0, N, 3))
+
+
+def test_site_update_of_a_hot_site(spark, small_limits):
+    decisions = spark.range(0, N, 1, 8).select(
+        third(F.lit("hot"), F.col("id").cast("string")).alias("domain"),
+        F.lit("FETCH").alias("decision"), F.lit(False).alias("first_visit"),
+        F.lit(None).cast("timestamp_ntz").alias("next_acces"), F.lit(4).alias("delay"))
+    update = R.site_update(decisions, datetime(2024, 1, 1))
+    assert plan_of(update).count("Aggregate") >= 2
+    assert update.where("domain = 'hot'").first()["next_acces"] == datetime(2024, 1, 1, 0, 0, 4)
+
+
+def test_first_per_key_limits_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), "id")
+    assert plan_of(first_per_key(df, ["k"], ["id"])).count("WindowGroupLimit") == 2
