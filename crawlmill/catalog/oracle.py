@@ -272,7 +272,7 @@ STEPS: dict[str, str] = {
                          coalesce({_netloc('loc')}, domain) AS netloc, {_path('loc')} AS path
                   FROM locs))
         WHERE url IS NOT NULL AND regexp_matches(netloc, {SCOPE})""",
-    "seed": "SELECT 'http://' || domain || '/' AS url FROM hosts ORDER BY id LIMIT 1",
+    "seed": "SELECT 'http://' || domain || '/' AS url FROM hosts",
     "met": """
         SELECT url FROM page_links UNION SELECT url FROM loc_urls UNION SELECT url FROM seed""",
     "met_verdicts": f"""

@@ -621,7 +621,7 @@ def bfs_levels(spark, sf_dir):
 
 
 def _replay(spark, sf_dir) -> Replay:
-    """A whole crawl from the first host, with robots, sitemaps, errors and copies."""
+    """A whole crawl from the host roots, with robots, sitemaps, errors and copies."""
     sites = X.sites(spark, sf_dir).select("id", "domain", "robots_content")
     located = sites.drop("id").join(
         X.sitemaps(spark, sf_dir).select("domain", "sitemap_content"), "domain"
@@ -636,7 +636,7 @@ def _replay(spark, sf_dir) -> Replay:
     corpus = replace(
         corpus, links=materialize(corpus.links.unionByName(tree), "links-with-tree")
     )
-    seeds = sites.orderBy("id").limit(1).select(
+    seeds = sites.select(
         F.concat(F.lit("http://"), "domain", F.lit("/")).alias("url"),
         F.col("id").alias("seed_order"),
     )
@@ -658,25 +658,16 @@ def crawl_replay_links(spark, sf_dir):
 
 @query
 def crawl_round(spark, sf_dir):
-    """Two rounds through the table versions: host roots, then the pages of their sitemaps."""
-    sites = X.sites(spark, sf_dir)
-    seeds = sites.select(
-        F.col("id").alias("seed_order"),
-        F.concat(F.lit("http://"), "domain", F.lit("/")).alias("url"),
-    )
-    robots = sites.select("domain", "robots_content").join(
-        X.sitemaps(spark, sf_dir).where(F.col("block") == 0).select("domain", "sitemap_content"),
-        "domain", "left",
-    )
+    """One round through the table versions, seeded with all pages of the corpus."""
+    seeds = X.canonical_pages(spark, sf_dir).select(F.col("page_id").alias("seed_order"), "url")
+    robots = X.sites(spark, sf_dir).select("domain", "robots_content", "sitemap_content")
     corpus = X.responses(spark, sf_dir).select("page_id", "status", "html").join(
         _page_ids(spark, sf_dir).select(F.col("id").alias("page_id"), "url"), "page_id"
     ).drop("page_id")
     db = CrawlDb.create(spark, new_work_path(spark, "crawl")).start(seeds, X.AS_OF)
-    for hours in (0, 24):
-        now = X.AS_OF + timedelta(hours=hours)
-        db, todo = db.select(now, 5, robots, X.SEARCH_DOMAINS)
-        got = todo.join(corpus, "url", "left").select("page_id", "status", "html")
-        db = db.apply(got, now, X.SEARCH_DOMAINS)
+    db, todo = db.select(X.AS_OF, 5, robots, X.SEARCH_DOMAINS)
+    got = todo.join(corpus, "url", "left").select("page_id", "status", "html")
+    db = db.apply(got, X.AS_OF, X.SEARCH_DOMAINS)
     return db.table("page").select("id", "site_id", "url", "page_type_code", "http_status_code")
 
 

@@ -11,6 +11,7 @@ is, and running it again starts over in a fresh folder. Fetching happens outside
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -70,16 +71,25 @@ class CrawlDb:
         return self.table(name).agg(F.max("id").alias("last")).first()["last"] or 0
 
     def _next(self, **tables: DataFrame) -> CrawlDb:
-        """Write the given tables and return the version that uses them."""
+        """Write the given tables and return the version that uses them.
+
+        The tables do not depend on each other, so their jobs run side by side.
+        """
         step = new_work_path(self.spark, "step").rsplit("-", 1)[1]
-        folders = dict(self.folders)
-        for name, df in tables.items():
-            schema = {**VERSIONED, **GROWING}[name]
-            fitting = accepted(df, name) if name != "content" else df
+
+        def write(name: str) -> str:
+            df = tables[name] if name == "content" else accepted(tables[name], name)
             path = f"{self.root}/{name}/{self.version + 1}-{step}"
-            fitting.select(*[
+            schema = {**VERSIONED, **GROWING}[name]
+            df.select(*[
                 F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
             ]).write.parquet(path)
+            return path
+
+        with ThreadPoolExecutor(len(tables)) as jobs:
+            paths = dict(zip(tables, jobs.map(write, tables)))
+        folders = dict(self.folders)
+        for name, path in paths.items():
             folders[name] = (path,) if name in VERSIONED else (*folders[name], path)
         return replace(self, version=self.version + 1, folders=folders)
 
