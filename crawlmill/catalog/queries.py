@@ -666,7 +666,7 @@ def crawl_round(spark, sf_dir):
     ).drop("page_id")
     db = CrawlDb.create(spark, new_work_path(spark, "crawl")).start(seeds, X.AS_OF)
     db, todo = db.select(X.AS_OF, 5, robots, X.SEARCH_DOMAINS)
-    got = todo.join(corpus, "url", "left").select("page_id", "status", "html")
+    got = todo.join(corpus, "url", "left")
     db = db.apply(got, X.AS_OF, X.SEARCH_DOMAINS)
     return db.table("page").select("id", "site_id", "url", "page_type_code", "http_status_code")
 

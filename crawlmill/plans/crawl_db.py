@@ -25,16 +25,18 @@ from crawlmill.operators import frontier as FR, robots as R
 from crawlmill.operators.discovery import seed_frontier
 from crawlmill.operators.ranking import first_n_per_key
 from crawlmill.operators.tables import apply_updates, with_surrogate_ids
+from crawlmill.operators.transitions import page_state
 from crawlmill.plans.page_step import process_batch
 from crawlmill.schemas import FRONTIER, IMAGE, LINK, PAGE, PAGE_DATA, SITE
 from crawlmill.session import materialize, new_work_path
 from crawlmill.sources.writers import accepted
 
+# The markup lives in its own table, so that a new page version does not carry it along. It
+# holds every good response; the page table tells which of them count.
 CONTENT = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("html_content", T.StringType()),
 ])
-# The markup lives in its own table, so that a new page version does not carry it along.
 NARROW_PAGE = T.StructType([f for f in PAGE.fields if f.name != "html_content"])
 
 VERSIONED = {"site": SITE, "page": NARROW_PAGE, "frontier": FRONTIER}
@@ -62,9 +64,12 @@ class CrawlDb:
         return self.spark.read.schema(schema).parquet(*self.folders[name])
 
     def pages_with_content(self) -> DataFrame:
-        """The page table with ``html_content``."""
-        return self.table("page").join(
-            self.table("content").withColumnRenamed("page_id", "id"), "id", "left"
+        """The page table with ``html_content`` for the pages that have a content hash."""
+        stored = self.table("content").select(
+            F.col("page_id").alias("id"), F.col("html_content").alias("_html")
+        )
+        return self.table("page").join(stored, "id", "left").withColumn(
+            "html_content", F.when(F.col("content_hash").isNotNull(), F.col("_html"))
         ).select(*PAGE.fieldNames())
 
     def last_id(self, name: str) -> int:
@@ -125,16 +130,21 @@ class CrawlDb:
     ) -> tuple[CrawlDb, DataFrame]:
         """Take the next pages of every open site.
 
-        Returns the next version and the fetch list ``page_id, url, fetch_time``: fetched
-        pages are occupied, forbidden ones are marked and leave the frontier, sites get
-        their next access time, and sitemaps of new sites (``fetched``) add pages.
+        Returns the next version and the fetch list ``page_id, url, old_type, old_status,
+        fetch_time``. Fetched pages are occupied, forbidden ones are marked and leave the
+        frontier, sites get their next access time, and sitemaps of new sites (``fetched``)
+        add pages.
         """
         sites = materialize(R.with_current_robots(self.table("site"), fetched), "sites")
         ready = FR.ready_pages(
             self.table("frontier"), self.table("page"), self.table("site"), as_of
         )
         named = FR.next_batch(ready, per_site).join(
-            self.table("page").select(F.col("id").alias("page_id"), "url"), "page_id"
+            self.table("page").select(
+                F.col("id").alias("page_id"), "url",
+                F.col("page_type_code").alias("old_type"),
+                F.col("http_status_code").alias("old_status"),
+            ), "page_id"
         ).join(sites.select(F.col("id").alias("site_id"), "domain"), "site_id")
         judged = materialize(
             R.robots_verdicts(named, R.site_states(sites), carry=("first_visit",)), "judged"
@@ -143,7 +153,7 @@ class CrawlDb:
             judged.where("allowed"), ["site_id"], ["site_rank"], per_site, "place"
         )
         fetch = materialize(ranked.select(
-            "page_id", "url", "site_id",
+            "page_id", "url", "old_type", "old_status",
             plus_seconds(ntz(as_of), (F.col("place") - 1) * F.col("delay")).alias("fetch_time"),
         ), "fetch")
         forbidden = judged.where(~F.col("allowed")).select(
@@ -158,8 +168,7 @@ class CrawlDb:
         )
         frontier = FR.occupy(FR.remove(self.table("frontier"), forbidden), fetch)
         chosen = self._next(site=visited, page=page, frontier=frontier)
-        listed = fetch.select("page_id", "url", "fetch_time")
-        return chosen._add_sitemaps(sites, judged, as_of, search_domains), listed
+        return chosen._add_sitemaps(sites, judged, as_of, search_domains), fetch
 
     def apply(
         self,
@@ -169,15 +178,13 @@ class CrawlDb:
         files: DataFrame | None = None,
         final_dequeue: bool = True,
     ) -> CrawlDb:
-        """Take the responses ``page_id, status, html`` of fetched pages."""
+        """Take responses: the fetch list with ``status`` and ``html``.
+
+        They carry all the step needs of their page, so the markup passes no shuffle: it is
+        read once for its features and once to be stored.
+        """
         page = self.table("page")
-        batch = responses.join(
-            page.select(
-                F.col("id").alias("page_id"), "url",
-                F.col("page_type_code").alias("old_type"),
-                F.col("http_status_code").alias("old_status"),
-            ), "page_id",
-        )
+        batch = responses.select("page_id", "url", "old_type", "old_status", "status", "html")
         known = page.where(F.col("content_hash").isNotNull()).select("content_hash")
         result = process_batch(
             batch, page, self.table("site"), known, as_of, search_domains, final_dequeue, files
@@ -202,7 +209,9 @@ class CrawlDb:
         return self._next(
             site=site, page=grown, frontier=frontier,
             link=links.select("from_page", "to_page"),
-            content=result.contents(batch),
+            content=batch.where(page_state(F.col("status")) == "ok").select(
+                "page_id", F.col("html").alias("html_content")
+            ),
             page_data=with_surrogate_ids(
                 result.documents, ["page_id", "url"], self.last_id("page_data")
             ),

@@ -66,8 +66,8 @@ class BatchResult:
     def contents(self, batch: DataFrame) -> DataFrame:
         """``page_id, html_content`` of the pages whose content is stored.
 
-        The few pages that are not stored are joined away, so that usually their ids are
-        small enough to be broadcast and the markup is not shuffled.
+        The pages that are not stored are joined away. Where their ids are too many for a
+        broadcast, a batch bucketed by ``page_id`` saves the shuffle of the markup.
         """
         skipped = self.pages.where(~F.col("store_content")).select("page_id")
         return batch.select("page_id", F.col("html").alias("html_content")).join(

@@ -74,3 +74,25 @@ def test_seeds_only_for_an_empty_frontier(spark):
     assert rows(D.seed_frontier(seeds, empty, pages, AS_OF), "url", "domain", "time_added") == [
         ("http://a/", "a", AS_OF)]
     assert D.seed_frontier(seeds, used, pages, AS_OF).count() == 0
+
+
+def test_bucketed_known_urls_are_not_shuffled(spark, tmp_path):
+    from crawlmill.sources.writers import write_bucketed
+
+    known = spark.range(1000).select(F.concat(F.lit("http://p/"), "id").alias("url"))
+    write_bucketed(known, "known_by_url", "url", 4, str(tmp_path / "known"))
+    links(spark).write.parquet(str(tmp_path / "l"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = D.discover(
+            spark.read.parquet(str(tmp_path / "l")), spark.table("known_by_url"),
+            spark.createDataFrame([], "domain string"), ORDER, AS_OF).found
+        plan = plan_of(found)
+        assert found.count() == 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange") == 1

@@ -79,16 +79,16 @@ def test_canonical_form_is_stable_for_any_path(spark, paths):
 
 
 def test_scope_is_a_loose_suffix(spark):
-    hosts = ["evem.gov.si", "www.evem.gov.si", "notevem.gov.si", "evem-gov.si",
-             "evem.gov.si:80", "gov.si", "EVEM.gov.si", "evem.gov.si/"]
+    hosts = ["portal.gov.si", "www.portal.gov.si", "notportal.gov.si", "portal-gov.si",
+             "portal.gov.si:80", "gov.si", "EVEM.gov.si", "portal.gov.si/"]
     df = spark.createDataFrame([(h,) for h in hosts], "h string")
-    found = {r[0]: r[1] for r in df.select("h", in_scope(F.col("h"), ["evem.gov.si", "x.si"])).collect()}
+    found = {r[0]: r[1] for r in df.select("h", in_scope(F.col("h"), ["portal.gov.si", "x.si"])).collect()}
     assert [h for h in hosts if found[h]] == [
-        "evem.gov.si", "www.evem.gov.si", "notevem.gov.si", "evem-gov.si", "evem.gov.si/"
+        "portal.gov.si", "www.portal.gov.si", "notportal.gov.si", "portal-gov.si", "portal.gov.si/"
     ]
     assert all(r[0] for r in df.select(in_scope(F.col("h"), [])).collect())
     with pytest.raises(TypeError):
-        in_scope(F.col("h"), "evem.gov.si")
+        in_scope(F.col("h"), "portal.gov.si")
 
 
 def test_out_of_scope_url_is_null(spark):
