@@ -291,6 +291,43 @@ STEPS: dict[str, str] = {
         FROM page_links l JOIN page_ids c ON c.id = l.page_id
         JOIN outcomes o ON o.url = c.url WHERE o.page_type_code = 'HTML'""",
     "located": "SELECT DISTINCT domain, url FROM loc_urls",
+    "first_round": """
+        SELECT url, row_number() OVER (ORDER BY id, pos, url) AS place FROM (
+            SELECT l.url, h.id, l.pos,
+                   row_number() OVER (PARTITION BY l.url ORDER BY h.id, l.pos) AS rn
+            FROM loc_urls l JOIN hosts h USING (domain))
+        WHERE rn = 1 AND url NOT IN (SELECT url FROM seed)""",
+    "second_round": """
+        SELECT p.url AS from_url, l.url AS to_url, row_number() OVER (
+                   PARTITION BY l.url ORDER BY f.place, l.source, l.pos) AS rn
+        FROM first_round f JOIN outcomes o ON o.url = f.url AND o.page_type_code = 'HTML'
+        JOIN page_ids p ON p.url = f.url JOIN page_links l ON l.page_id = p.id
+        WHERE l.url NOT IN (SELECT url FROM first_round) AND l.url NOT IN (SELECT url FROM seed)""",
+    "db_pages": f"""
+        SELECT url, id AS page_id, {_domain('url')} AS domain, row_number() OVER (ORDER BY id) AS id
+        FROM page_ids""",
+    "db_turn": """
+        SELECT *, row_number() OVER (PARTITION BY domain ORDER BY id) <= 5 AS taken FROM db_pages""",
+    "db_updated": """
+        SELECT t.*, CASE WHEN NOT taken THEN 'FRONTIER' WHEN NOT allowed THEN 'FORBIDDEN'
+                      WHEN status < 400 THEN 'HTML' ELSE 'FRONTIER' END AS page_type_code,
+               CASE WHEN taken AND allowed THEN status END AS http_status_code
+        FROM db_turn t JOIN (SELECT url, bool_and(allowed) AS allowed FROM verdicts GROUP BY url)
+            USING (url)
+        JOIN (SELECT page_id, status FROM response) USING (page_id)""",
+    "db_found": f"""
+        SELECT url, {_domain('url')} AS domain,
+               (SELECT count(*) FROM db_pages) + row_number() OVER (ORDER BY id, source, pos) AS id
+        FROM (SELECT l.url, u.id, l.source, l.pos, row_number() OVER (
+                         PARTITION BY l.url ORDER BY u.id, l.source, l.pos) AS rn
+              FROM db_updated u JOIN page_links l ON l.page_id = u.page_id AND l.source < 4
+              WHERE u.page_type_code = 'HTML' AND l.url NOT IN (SELECT url FROM db_pages))
+        WHERE rn = 1""",
+    "db_sites": """
+        SELECT domain, row_number() OVER (ORDER BY later, domain) AS site_id FROM (
+            SELECT domain, min(later) AS later FROM (
+                SELECT domain, 0 AS later FROM db_pages UNION ALL SELECT domain, 1 FROM db_found)
+            GROUP BY domain)""",
     # --- page state and content -----------------------------------------------------------
     "moves": """
         SELECT page_id, CASE WHEN status IS NULL THEN old_type
@@ -533,6 +570,12 @@ def sql() -> dict[str, str]:
                 WHERE level < 40)
             -- result
             SELECT url, min(level) AS level FROM reach GROUP BY url""",
+        "crawl_replay_links": "SELECT from_url, to_url FROM second_round WHERE rn = 1",
+        "crawl_round": """
+            SELECT id, site_id, url, page_type_code, http_status_code
+            FROM (SELECT id, url, domain, page_type_code, http_status_code FROM db_updated
+                  UNION ALL SELECT id, url, domain, 'FRONTIER', NULL FROM db_found)
+            JOIN db_sites USING (domain)""",
         "crawl_replay": f"""
             reach AS (
                 SELECT url, 0 AS level FROM seed

@@ -87,7 +87,8 @@ def site_scan(spark, sf_dir):
 
 @query
 def binary_assets(spark, sf_dir):
-    rows = assets.document_rows(_links(spark, sf_dir), X.link_files(spark, sf_dir))
+    links = _links(spark, sf_dir, (L.HREF, L.ONCLICK))
+    rows = assets.document_rows(links, X.link_files(spark, sf_dir))
     return rows.select(
         "page_id", "url", "data_type_code",
         F.length("data").cast("long").alias("n_bytes"), F.md5("data").alias("data_md5"),
@@ -96,7 +97,8 @@ def binary_assets(spark, sf_dir):
 
 @query
 def image_assets(spark, sf_dir):
-    rows = assets.image_rows(_links(spark, sf_dir), X.AS_OF, X.link_files(spark, sf_dir))
+    links = _links(spark, sf_dir, (L.IMAGE,))
+    rows = assets.image_rows(links, X.AS_OF, X.link_files(spark, sf_dir))
     return rows.select(
         "page_id", "url", "filename", "content_type", "accessed_time",
         F.length("data").cast("long").alias("n_bytes"), F.md5("data").alias("data_md5"),
@@ -163,7 +165,7 @@ def code_tables(spark, sf_dir):
     types = _transitions(spark, sf_dir).select(
         F.lit("page_type").alias("code_table"), F.col("page_type_code").alias("code")
     )
-    data = _links(spark, sf_dir).where(F.col("cls") == L.DOCUMENT).select(
+    data = _links(spark, sf_dir, (L.HREF, L.ONCLICK)).where(F.col("cls") == L.DOCUMENT).select(
         F.lit("data_type").alias("code_table"),
         F.upper(F.substring_index("url", ".", -1)).alias("code"),
     )

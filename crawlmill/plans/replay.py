@@ -173,7 +173,8 @@ def _next_queue(
         F.col("seq").alias("_parent"), F.col("page_type_code").alias("old_type"),
         F.col("http_status_code").alias("old_status"), F.lit(False).alias("new"),
     )
-    return numbered(fresh.unionByName(again), order, "seq").select(
+    # The URL orders what several sitemaps of a domain have at the same place.
+    return numbered(fresh.unionByName(again), [*order, "url"], "seq").select(
         "url", site_of(F.col("url")).alias("domain"), "from_url", "old_type", "old_status",
         "new", "seq",
     )
