@@ -65,6 +65,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_path(sf_dir: str, name: str) -> str:
+    """Path of a table for a file stream: a pattern, as a stream takes no single file."""
+    return f"{sf_dir}/{{{name}}}.parquet"
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages")
 

@@ -676,7 +676,7 @@ def crawl_round(spark, sf_dir):
 @query
 def stream_new_urls(spark, sf_dir):
     root = new_work_path(spark, "new-urls")
-    pages = readers.page_stream(spark, sf_dir, "pages.parquet")
+    pages = readers.page_stream(spark, X.stream_path(sf_dir, "pages"))
     urls = jobs.new_url_stream(pages, X.SEARCH_DOMAINS)
     jobs.write_stream(urls, f"{root}/urls", f"{root}/checkpoint").awaitTermination()
     return jobs.read_batches(spark, f"{root}/urls")
@@ -686,7 +686,7 @@ def stream_new_urls(spark, sf_dir):
 def stream_content_dup(spark, sf_dir):
     root = new_work_path(spark, "contents")
     schema = X.table(spark, sf_dir, "documents").schema
-    arriving = readers.page_stream(spark, sf_dir, "documents.parquet", schema)
+    arriving = readers.page_stream(spark, X.stream_path(sf_dir, "documents"), schema=schema)
     contents = arriving.select(
         F.col("doc_id").alias("id"), H.content_hash(F.col("text")).alias("content_hash")
     )
@@ -698,7 +698,7 @@ def stream_content_dup(spark, sf_dir):
 def stream_schedule(spark, sf_dir):
     root = new_work_path(spark, "schedule")
     schema = X.table(spark, sf_dir, "events").schema
-    arriving = readers.page_stream(spark, sf_dir, "events.parquet", schema).select(
+    arriving = readers.page_stream(spark, X.stream_path(sf_dir, "events"), schema=schema).select(
         F.col("event_id").alias("page_id"), F.col("user_id").alias("site_id"),
         F.col("ts").alias("time_added"),
     )

@@ -62,11 +62,11 @@ def seed_urls(spark: SparkSession, urls: Sequence[str]) -> DataFrame:
 
 
 def page_stream(
-    spark: SparkSession, folder: str, pattern: str = "*.parquet",
+    spark: SparkSession, path: str, pattern: str = "*.parquet",
     schema: T.StructType = FETCHED_PAGE, max_files: int | None = None,
 ) -> DataFrame:
-    """Pages as they arrive as parquet files in a folder."""
+    """Pages (or rows of another ``schema``) as they arrive as parquet files in a folder."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(path)
