@@ -9,25 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_COMMENT = r"<!--.*?-->"
+# What is not closed reaches to the end of the page.
+_COMMENT = r"<!--.*?(?:-->|\z)"
 _NAME_END = r"(?=[\s/>])"
+_SCRIPT_END = r".*?(?:</script\s*>|\z)"
+_STYLE_END = r".*?(?:</style\s*>|\z)"
+_RAW_TEXT = rf"<script{_NAME_END}{_SCRIPT_END}|<style{_NAME_END}{_STYLE_END}"
 # Up to the end tag; end tags inside comments, scripts or styles do not count.
 _HEAD = (
     rf"<head{_NAME_END}[^>]*+>"
-    rf"(?:[^<]++|{_COMMENT}|<script{_NAME_END}.*?</script\s*>|<style{_NAME_END}.*?</style\s*>"
-    rf"|<(?!/head{_NAME_END}))*+(?:</head[^>]*+>|\z)"
+    rf"(?:[^<]++|{_COMMENT}|{_RAW_TEXT}|<(?!/head{_NAME_END}))*+(?:</head[^>]*+>|\z)"
 )
 # The look-ahead passes over all other characters at the cost of one test each.
 _MARKED = r"(?s)(?=<[!hHsS])(?i)"
 # Comments, scripts and styles are matched first so that a "<head>" in them is text.
-_HEAD_ONLY = (
-    rf"{_MARKED}(?:({_COMMENT}|<script{_NAME_END}.*?</script\s*>"
-    rf"|<style{_NAME_END}.*?</style\s*>)|{_HEAD})"
-)
+_HEAD_ONLY = rf"{_MARKED}(?:({_COMMENT}|{_RAW_TEXT})|{_HEAD})"
 # For link extraction: the start tags of scripts and styles stay, their text goes.
 _INVISIBLE = (
     rf"{_MARKED}(?:{_COMMENT}|{_HEAD}"
-    rf"|(<script{_NAME_END}[^>]*+>).*?</script\s*>|(<style{_NAME_END}[^>]*+>).*?</style\s*>)"
+    rf"|(<script{_NAME_END}[^>]*+>){_SCRIPT_END}|(<style{_NAME_END}[^>]*+>){_STYLE_END})"
 )
 _BODY_TAG = rf"(?i)<body{_NAME_END}"
 
@@ -39,7 +39,8 @@ _WHITESPACE_CHARACTERS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+# Names and bare values hold no "<": a tag that is not closed ends where the next begins.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'<>][^\s<>]*+)"""
 
 
 def strip(text: Column) -> Column:
@@ -50,7 +51,7 @@ def strip(text: Column) -> Column:
 def _attribute_pattern(attribute: str, tag: str = "[a-z][^\\s/>]*+") -> str:
     """Pattern whose group 1 is the (last) value of ``attribute`` in a start tag."""
     wanted = rf"{attribute}(?=[\s/>=])"
-    other = rf"[\s/]*+(?!{wanted})[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE}?+)?+"
+    other = rf"[\s/]*+(?!{wanted})[^\s/<>][^\s/<>=]*+(?:\s*+=\s*+{_VALUE}?+)?+"
     return (
         rf"(?is)<{tag}(?=[\s/])"
         rf"(?:(?:{other})*+[\s/]*+{wanted}(?:\s*+=\s*+)?+((?<=[=\s]){_VALUE}|))++"

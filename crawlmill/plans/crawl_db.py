@@ -3,9 +3,10 @@
 ``site``, ``page`` and ``frontier`` change row by row, so each step writes a new version
 of them. ``link``, ``page_data``, ``image`` and ``content`` only grow, so each step adds one
 folder; the wide ones among them (markup, files) are never written twice. A step reads
-version n and writes version n + 1; a step that fails half-way leaves version n as it
-is, and running it again starts over in a fresh folder. Fetching happens outside:
-``select`` says what to fetch and when, ``apply`` takes the responses.
+version n and writes version n + 1, which exists once its folders are noted in
+``versions``. A step that fails half-way leaves version n as it is, and running it again
+starts over in fresh folders. Fetching happens outside: ``select`` says what to fetch and
+when, ``apply`` takes the responses.
 """
 
 from __future__ import annotations
@@ -39,6 +40,12 @@ CONTENT = T.StructType([
 ])
 NARROW_PAGE = T.StructType([f for f in PAGE.fields if f.name != "html_content"])
 
+VERSIONS = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("path", T.StringType()),
+])
+
 VERSIONED = {"site": SITE, "page": NARROW_PAGE, "frontier": FRONTIER}
 GROWING = {"link": LINK, "page_data": PAGE_DATA, "image": IMAGE, "content": CONTENT}
 
@@ -57,6 +64,22 @@ class CrawlDb:
         """Empty tables below ``root``, a folder that all executors can reach."""
         return cls(spark, root.rstrip("/"), 0, {name: () for name in {**VERSIONED, **GROWING}})
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> CrawlDb:
+        """The last version below ``root``. The list of folders is a few rows per step."""
+        db = cls.create(spark, root)
+        noted = spark.read.schema(VERSIONS).json(f"{db.root}/versions")
+        for row in sorted(noted.collect()):
+            db = replace(
+                db, version=row["version"],
+                folders=db._with_folder(row["table_name"], row["path"]),
+            )
+        return db
+
+    def _with_folder(self, name: str, path: str) -> dict[str, tuple[str, ...]]:
+        older = () if name in VERSIONED else self.folders[name]
+        return {**self.folders, name: (*older, path)}
+
     def table(self, name: str) -> DataFrame:
         schema = {**VERSIONED, **GROWING}[name]
         if not self.folders[name]:
@@ -93,10 +116,13 @@ class CrawlDb:
 
         with ThreadPoolExecutor(len(tables)) as jobs:
             paths = dict(zip(tables, jobs.map(write, tables)))
-        folders = dict(self.folders)
+        number = self.version + 1
+        noted = self.spark.createDataFrame([(number, *item) for item in paths.items()], VERSIONS)
+        noted.coalesce(1).write.mode("append").json(f"{self.root}/versions")
+        db = replace(self, version=number)
         for name, path in paths.items():
-            folders[name] = (path,) if name in VERSIONED else (*folders[name], path)
-        return replace(self, version=self.version + 1, folders=folders)
+            db = replace(db, folders=db._with_folder(name, path))
+        return db
 
     # --- steps ----------------------------------------------------------------------
 

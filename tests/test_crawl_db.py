@@ -108,3 +108,15 @@ def test_politeness_and_restart(spark, tmp_path):
     # A version is not touched by later ones.
     done = db.apply(fetch(spark, listed, corpus), early)
     assert done.table("frontier").count() == 1 and db.table("frontier").count() == 4
+
+
+def test_the_last_version_can_be_opened_again(spark, tmp_path):
+    seeds = ["http://a.si/", "http://b.si/"]
+    corpus = {u: (200, u, [u + "x"]) for u in seeds}
+    db = CrawlDb.create(spark, str(tmp_path)).start(seed_urls(spark, seeds), T0)
+    db, listed = db.select(T0)
+    db = db.apply(fetch(spark, listed, corpus), T0)
+    again = CrawlDb.open(spark, str(tmp_path))
+    assert again == db
+    assert rows(again.table("page")) == rows(db.table("page"))
+    assert again.table("link").count() == 2
