@@ -21,7 +21,10 @@ FETCH, DELAY, FORBIDDEN = "FETCH", "DELAY", "FORBIDDEN"
 _LINE_ENDS = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 # Kept lines are written as one letter and an encoded value:
 # U user-agent, A allow, D disallow, C crawl-delay, R request-rate, B blank.
-_ENTRY = r"(?m)(?:^U.*\n)++(?:^[ADCR].*\n)++"
+_ENTRY = r"(?m)(?:^U.*\n)++(?:^[ADCR].*\n)*+"
+_HAS_RULES = r"(?m)^[ADCR]"
+# Text up to the end tag; another start tag in between means that this one is not closed.
+_LOC = r"(?is)<loc(?=[\s>])[^>]*+>([^<]*+(?:<(?!/?loc[\s>])[^<]*+)*+)</loc\s*>"
 _ANY_AGENT = r"(?m)^U%2A$"
 _EMPTY_AGENT = r"(?m)^U$"
 
@@ -33,7 +36,7 @@ def _comparable(decoded: Column) -> Column:
     that is not unreserved is percent-encoded.
     """
     path = F.regexp_replace(
-        F.regexp_extract(decoded, r"(?s)^([^?#]*)", 1), r"^((?:.*/)?[^/;]*);$", "$1"
+        F.regexp_extract(decoded, r"(?s)^([^?#]*)", 1), r"(^|/)([^/;]*+);$", "$1$2"
     )
     query = F.regexp_extract(decoded, r"(?s)^[^?#]*(\?[^#]+)", 1)
     fragment = F.regexp_extract(decoded, r"(?s)^[^#]*(#.+)$", 1)
@@ -70,12 +73,13 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
 
     A file is a list of entries, and an entry is a run of user-agent lines followed at
     once by a run of rules; written one kept line per line, that is a regular expression.
-    The entry that counts is the first one with an empty agent name, else the first one
-    for ``*``.
+    The entry that counts is the first one with rules and an empty agent name, else the
+    first one with rules for ``*``.
     """
     text = F.regexp_replace(F.coalesce(F.col("robots_content"), F.lit("")), _LINE_ENDS, "\n")
     tokens = F.filter(F.transform(F.split(text, "\n", -1), _line_token), lambda t: t != "")
-    entries = F.regexp_extract_all(F.col("_lines"), F.lit(_ENTRY), F.lit(0))
+    runs = F.regexp_extract_all(F.col("_lines"), F.lit(_ENTRY), F.lit(0))
+    entries = F.filter(runs, lambda e: e.rlike(_HAS_RULES))
     unnamed = F.filter(entries, lambda e: e.rlike(_EMPTY_AGENT) & ~e.rlike(_ANY_AGENT))
     anyone = F.filter(entries, lambda e: e.rlike(_ANY_AGENT))
     entry = F.coalesce(F.get(unnamed, F.lit(0)), F.get(anyone, F.lit(0)), F.lit(""))
@@ -243,9 +247,7 @@ def sitemap_locs(sitemaps: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
 
     A sitemap index is read like any sitemap. Broken XML does no harm.
     """
-    found = F.regexp_extract_all(
-        F.col("sitemap_content"), F.lit(r"(?is)<loc(?=[\s>])[^>]*+>(.*?)</loc\s*>"), F.lit(1)
-    )
+    found = F.regexp_extract_all(F.col("sitemap_content"), F.lit(_LOC), F.lit(1))
     plain = F.regexp_replace(F.col("col"), r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
     return sitemaps.select(*keep, F.posexplode(found)).select(
         *keep, "pos", decode_entities(plain).alias("loc")

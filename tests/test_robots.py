@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime
 from urllib.robotparser import RobotFileParser
 
@@ -172,6 +173,26 @@ def test_sitemap_pages(spark):
         ("http://d.si/c", "d.si", "d.si", AS_OF), ("http://e.d.si/e", "d.si", "e.d.si", AS_OF)]
 
 
+def test_sitemap_index_is_read_like_a_sitemap(spark):
+    xml = "<sitemapindex><sitemap><loc>http://d.si/s1.xml</loc></sitemap></sitemapindex>"
+    maps = spark.createDataFrame([("d.si", xml)], "domain string, sitemap_content string")
+    assert rows(R.sitemap_urls(maps), "url") == [("http://d.si/s1.xml",)]
+
+
+def test_long_files_stay_linear(spark):
+    start = time.time()
+    texts = ["User-agent: x\n" * 50_000, "User-agent: *\n" + "Disallow: /a;b/\n" * 50_000,
+             "User-agent: *\nDisallow: /" + "x/" * 100_000, "a" * 1_000_000, "User-agent: *\nDisallow: /" + ";" * 50_000]
+    sites = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], SITES)
+    sizes = R.robots_policies(sites).select("domain", F.size("rules"))
+    assert rows(sizes) == [("0", 0), ("1", 50_000), ("2", 1), ("3", 0), ("4", 1)]
+    maps = spark.createDataFrame(
+        [("d", "<loc>" * 200_000), ("e", "<loc>x" + "<" * 500_000), ("f", "<loc>/x</loc>" * 20_000)],
+        "domain string, sitemap_content string")
+    assert R.sitemap_locs(maps).count() == 20_000
+    assert time.time() - start < 60
+
+
 def test_only_good_sitemap_responses_count(spark):
     df = spark.createDataFrame([("a", 200), ("b", 404), ("c", None)], "domain string, status int")
     assert rows(R.accepted_sitemaps(df), "domain") == [("a",)]
