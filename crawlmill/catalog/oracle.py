@@ -419,7 +419,7 @@ def _discovery_rows(found: str) -> str:
 
 LINK_COLUMNS = "page_id, pos, raw, url, cls"
 SCHEDULE = f"""
-    SELECT page_id, site_id, CAST(rank AS INTEGER) AS site_rank,
+    SELECT page_id, site_id, rank AS site_rank,
            greatest(coalesce(next_acces, {AS_OF}), {AS_OF})
                + to_seconds((rank - 1) * delay) AS fetch_time
     FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY time_added, page_id) AS rank

@@ -36,6 +36,7 @@ STORED_IMAGE_TYPES = ("img", "png", "jpg")
 # --- robots ---------------------------------------------------------------------
 SITEMAP_DIRECTIVE = r"Sitemap: ([^\n]*)"
 DEFAULT_CRAWL_DELAY = 4  # seconds
+MAX_CRAWL_DELAY = 32767  # what the delay column holds
 
 # --- code tables ----------------------------------------------------------------
 PAGE_TYPES = ("HTML", "BINARY", "DUPLICATE", "FRONTIER", "FORBIDDEN")

@@ -14,4 +14,4 @@ def ntz(moment: datetime) -> Column:
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, moment)
+    return F.timestamp_add("SECOND", seconds.cast("long"), moment)

@@ -69,7 +69,7 @@ def fetch_schedule(
     ranked = rank_in_group(urls, "site_id", queue_order(), "site_rank", max_group_rows)
     timing = sites.select(F.col("id").alias("site_id"), "next_acces", "delay")
     opens = F.greatest(F.coalesce(F.col("next_acces"), ntz(as_of)), ntz(as_of))
-    wait = (F.col("site_rank") - 1) * F.col("delay").cast("int")
+    wait = (F.col("site_rank") - 1) * F.col("delay").cast("long")
     return (
         ranked.join(timing, "site_id")
         .withColumn("fetch_time", plus_seconds(opens, wait))

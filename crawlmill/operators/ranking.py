@@ -61,16 +61,16 @@ def rank_in_group(
     Group sizes are counted first (pre-aggregated, one number per group). The hot groups
     number at most ``rows / max_group_rows``, so telling them apart is a small join.
     """
-    window = Window.partitionBy(group).orderBy(*order)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")
     hot = (
         df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > max_group_rows)
         .select(group)
     )
     if hot.isEmpty():
-        return df.withColumn(out, F.row_number().over(window))
+        return df.withColumn(out, rank)
     hot = materialize(hot, "hot-groups")
-    usual = df.join(hot, group, "left_anti").withColumn(out, F.row_number().over(window))
+    usual = df.join(hot, group, "left_anti").withColumn(out, rank)
     return usual.unionByName(_rank_from_sort(df.join(hot, group, "left_semi"), group, order, out))
 
 
@@ -87,6 +87,6 @@ def _rank_from_sort(df: DataFrame, group: str, order: Sequence[Column | str], ou
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     return (
         placed.join(runs, [group, "_slice"])
-        .withColumn(out, (F.col("_before") + F.col("_seq") - F.col("_start") + 1).cast("int"))
+        .withColumn(out, F.col("_before") + F.col("_seq") - F.col("_start") + 1)
         .drop("_seq", "_slice", "_before", "_start")
     )

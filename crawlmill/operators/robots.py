@@ -67,8 +67,8 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
     """Rules and crawl delay for any agent, per row of ``sites(robots_content, ...)``.
 
     Result: keep..., ``rules ARRAY<STRUCT<pos, allow, prefix>>`` in file order,
-    ``crawl_delay`` (as written, NULL if missing) and ``delay`` (never 0). A missing or
-    empty file allows everything. A robots file is one value of one row, so reading it
+    ``crawl_delay`` (as written, NULL if missing) and ``delay`` (never 0, and never more
+    than its column holds). A missing or empty file allows everything. A robots file is one value of one row, so reading it
     needs no shuffle.
 
     A file is a list of entries, and an entry is a run of user-agent lines followed at
@@ -98,7 +98,7 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
         .select(
             *keep,
             rules.alias("rules"),
-            F.try_element_at(delays, F.lit(-1)).try_cast("int").alias("crawl_delay"),
+            _bounded_delay(F.try_element_at(delays, F.lit(-1))).alias("crawl_delay"),
         )
         .withColumn(
             "delay",
@@ -109,6 +109,12 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
     )
 
 
+def _bounded_delay(digits: Column) -> Column:
+    """Delay as a number; one bad file must not stop the job of all."""
+    number = F.coalesce(digits.try_cast("int"), F.lit(C.MAX_CRAWL_DELAY))
+    return F.when(digits.isNotNull(), F.least(number, F.lit(C.MAX_CRAWL_DELAY)))
+
+
 def robots_rules(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> DataFrame:
     """One row per rule: keep..., ``pos, allow, prefix``."""
     policies = robots_policies(sites, keep)

@@ -262,7 +262,7 @@ class CrawlDb:
             .otherwise(F.col("robots_content")).alias("robots_content"),
             F.when(F.col("_n").isNotNull() | ~F.col("first_visit"), F.col("sitemap_content"))
             .alias("sitemap_content"),
-            F.when(moved, plus_seconds(ntz(as_of), turns.cast("int") * F.col("_delay")))
+            F.when(moved, plus_seconds(ntz(as_of), turns * F.col("_delay")))
             .otherwise(F.col("next_acces")).alias("next_acces"),
             F.when(seen, F.col("_delay").cast("short")).otherwise(F.col("delay")).alias("delay"),
         )

@@ -128,7 +128,7 @@ def schedule_stream(
         after = before.join(last, "id", "left").select(
             "id",
             F.coalesce(
-                plus_seconds(F.col("_last"), F.col("delay").cast("int")), F.col("next_acces")
+                plus_seconds(F.col("_last"), F.col("delay")), F.col("next_acces")
             ).alias("next_acces"),
             "delay",
         )

@@ -95,3 +95,12 @@ def test_sequence_follows_the_order(spark):
     got = numbered(df, ["k"], "seq").orderBy("seq").collect()
     assert [r["k"] for r in got] == list(range(1000))
     assert len({r["seq"] for r in got}) == 1000
+
+
+def test_long_waits(spark):
+    u = spark.range(200_000).select(
+        F.col("id").alias("page_id"), F.lit(1).cast("long").alias("site_id"),
+        F.lit(None).cast("timestamp_ntz").alias("time_added"))
+    s = spark.createDataFrame([(1, None, 32767)], "id long, next_acces timestamp_ntz, delay short")
+    last = FR.fetch_schedule(u, s, AS_OF).agg(F.max("fetch_time")).first()[0]
+    assert last == AS_OF + timedelta(seconds=199_999 * 32767)
