@@ -23,7 +23,7 @@ from crawlmill.operators.ranking import first_per_key, numbered
 from crawlmill.operators.robots import robots_policies, robots_verdicts, sitemap_urls
 from crawlmill.operators.transitions import page_transitions
 from crawlmill.plans.page_step import feature_links, page_features
-from crawlmill.session import History, materialize
+from crawlmill.session import History, materialize, materialize_all
 
 SITEMAP = 0  # sitemap URLs are queued before the links of the page that led there
 
@@ -73,14 +73,12 @@ def prepare_corpus(
     located = sitemap_urls(
         sites.where(F.col("sitemap_content").isNotNull()), search_domains, ("domain",)
     )
-    return Corpus(
-        materialize(
-            features.select("url", "status", "has_body", "content_hash"), "replay-pages"
-        ),
-        materialize(storable(links).select("from_url", "source", "pos", "url"), "replay-links"),
-        materialize(policies, "replay-robots"),
-        materialize(storable(located), "replay-sitemaps"),
-    )
+    return Corpus(**materialize_all(
+        features=features.select("url", "status", "has_body", "content_hash"),
+        links=storable(links).select("from_url", "source", "pos", "url"),
+        policies=policies,
+        sitemaps=storable(located),
+    ))
 
 
 def replay(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(**frames: DataFrame) -> dict[str, DataFrame]:
+    """Write several tables that do not depend on each other, side by side."""
+    with ThreadPoolExecutor(len(frames)) as jobs:
+        written = jobs.map(lambda item: materialize(item[1], item[0]), frames.items())
+        return dict(zip(frames, written))
+
+
 class History:
     """Written tables of one schema that grow step by step, read together as one."""
 
