@@ -39,6 +39,13 @@ _WHITESPACE_CHARACTERS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Blocks whose whitespace counts are kept; elsewhere whitespace next to a tag goes. Only
+# the first blank of a run starts a match, so long runs stay linear.
+_BESIDE_TAGS = (
+    rf"(?s)(<(?i:pre|textarea){_NAME_END}.*?(?:</(?i:pre|textarea)\s*>|\z)){WHITESPACE}*+"
+    rf"|(>){WHITESPACE}++|{WHITESPACE}(?<!{WHITESPACE}{WHITESPACE}){WHITESPACE}*+(?=<)"
+)
+
 # Names and bare values hold no "<": a tag that is not closed ends where the next begins.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'<>][^\s<>]*+)"""
 
@@ -126,11 +133,9 @@ def normalized_content(body: Column) -> Column:
     """Body text in which whitespace next to tags and at both ends is gone.
 
     Two pages get the same text exactly if they differ in nothing but the head and the
-    whitespace around their tags.
+    whitespace around their tags. Inside ``pre`` and ``textarea`` whitespace counts.
     """
-    # Only the first blank of a run starts a match, so long runs stay linear.
-    beside_tags = rf"(>){WHITESPACE}++|{WHITESPACE}(?<!{WHITESPACE}{WHITESPACE}){WHITESPACE}*+(<)"
-    return strip(F.regexp_replace(body, beside_tags, "$1$2"))
+    return strip(F.regexp_replace(body, _BESIDE_TAGS, "$1$2"))
 
 
 def content_hash(html: Column) -> Column:

@@ -24,6 +24,17 @@ def test_head_and_whitespace_around_tags_do_not_matter(spark):
     assert e is None
 
 
+def test_whitespace_inside_pre_counts(spark):
+    a, b, c, d = hashes(
+        spark, "<body><p>x</p> <pre> <b>1</b>\n</pre> <p>y</p></body>",
+        "<body><p>x</p><pre> <b>1</b>\n</pre>\n<p> y</p></body>",
+        "<body><p>x</p><pre><b>1</b></pre><p>y</p></body>",
+        "<body><p>x</p><PRE class='c'> <b>1</b>\n</PRE><p>y</p></body>",
+    )
+    assert a == b
+    assert len({a, c, d}) == 3
+
+
 def test_header_is_not_head_and_comments_count(spark):
     a, b, c = hashes(
         spark, "<body><header>x</header></body>", "<body></body>", "<body><!-- <head>x</head> --></body>"
