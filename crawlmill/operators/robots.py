@@ -167,7 +167,7 @@ def with_current_robots(sites: DataFrame, fetched: DataFrame | None = None) -> D
             "first_visit": first_visit,
             "robots_content": F.coalesce("robots_content", F.lit("")),
         })
-    new = fetched.select(
+    new = fetched.dropDuplicates(["domain"]).select(
         "domain",
         F.col("robots_content").alias("_robots"),
         F.col("sitemap_content").alias("_sitemap"),
