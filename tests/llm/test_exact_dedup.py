@@ -1,0 +1,53 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawlmill.llm.exact_dedup import deduplicate, exact_groups
+
+SCHEMA = "doc_id long, text string, digest string, salt int, n string"
+DOCS = [
+    (1, "a", "x", 1, "p"), (5, "a", "y", 2, "q"), (2, "b", None, 3, None), (3, None, "z", 4, "r"),
+    (4, "", "z", 5, "s"), (7, "a ", "x", 6, "t"), (None, "b", "x", 7, "u"), (None, "c", "x", 8, "v"),
+    (9, "long " * 40000, "x", 9, "w"), (8, "long " * 40000, "x", 9, "w"), (5, "a", "y", 2, "q"),
+]
+
+
+def brute(docs):
+    groups = {}
+    for row in docs:
+        groups.setdefault(row[1] or "", []).append(row[0])
+    out = []
+    for row in docs:
+        ids = groups[row[1] or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        out.append((row[0], keep, len(ids), row[0] == keep, hashlib.sha256((row[1] or "").encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("width", [64, 1, 0])
+def test_groups_equal_brute_force_even_when_digests_clash(spark, width):
+    docs = spark.createDataFrame(DOCS, SCHEMA).repartition(5)
+    found = exact_groups(docs, salts=2, digest=lambda text: F.substring(F.sha2(text, 256), 1, width))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute(DOCS)
+
+
+def test_one_row_of_each_text_stays_with_its_columns(spark):
+    docs = spark.createDataFrame(DOCS, SCHEMA).repartition(3)
+    kept = sorted((tuple(r) for r in deduplicate(docs).collect()), key=str)
+    expected = [DOCS[1], DOCS[2], DOCS[4], DOCS[5], DOCS[7], DOCS[8]]
+    assert kept == sorted(expected, key=str)
+    assert deduplicate(docs).columns == docs.columns
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert exact_groups(empty).collect() == []
+    assert deduplicate(empty).collect() == []
+
+
+def test_a_hot_text_sends_one_row_per_partition(spark):
+    docs = spark.range(40000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    found = exact_groups(docs).filter("kept")
+    assert found.count() == 40000 - 13334 + 1
+    assert found.agg(F.max("group_size")).first()[0] == 13334
