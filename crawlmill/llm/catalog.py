@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,3 +38,8 @@ def _query(name: str, sql: str | None = None):
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@_query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
