@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
 
+WORDS_FILE = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -43,3 +48,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS_FILE))
+    spans = F.col("spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(spans_text(F.filter(spans, lambda s: s["kind"] != "guess")), 256).alias("base_sha256"),
+        spans_text(spans).alias("spans"),
+    )
