@@ -12,6 +12,7 @@ from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
+from crawlmill.llm.url_filter import Rule, judge_urls, oracle_sql as url_oracle_sql
 
 WORDS_FILE = "word_bpe_49k.json"
 
@@ -61,3 +62,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans_text(F.filter(spans, lambda s: s["kind"] != "guess")), 256).alias("base_sha256"),
         spans_text(spans).alias("spans"),
     )
+
+
+URL_RULES = [
+    Rule.parse("allow", "com/"),
+    Rule.parse("block", "example.com/en/"),
+    Rule.parse("allow", "www.example.com/en/"),
+    Rule.parse("block", "net/es/"),
+    Rule.parse("block", "net/fr/"),
+]
+
+
+@_query("op8_url_filter", url_oracle_sql(URL_RULES))
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
