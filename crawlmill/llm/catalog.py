@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.quality import score_quality
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
 from crawlmill.llm.url_filter import Rule, judge_urls, oracle_sql as url_oracle_sql
@@ -76,3 +77,9 @@ URL_RULES = [
 @_query("op8_url_filter", url_oracle_sql(URL_RULES))
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
