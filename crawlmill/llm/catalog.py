@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.packing import pack, text_cluster, word_count
 from crawlmill.llm.quality import score_quality
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
@@ -83,3 +84,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", word_count(F.col("text")).alias("n_words"), text_cluster(F.col("text")).alias("cluster")
+    )
+    return pack(docs)
