@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.neighbours import nearest_neighbours
 from crawlmill.llm.packing import pack, text_cluster, word_count
 from crawlmill.llm.quality import score_quality
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
@@ -92,3 +93,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", word_count(F.col("text")).alias("n_words"), text_cluster(F.col("text")).alias("cluster")
     )
     return pack(docs)
+
+
+@_query("op6_neighbours")
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
