@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlmill.llm.bpe import decode, encode
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
 from crawlmill.llm.neighbours import nearest_neighbours
@@ -17,6 +18,7 @@ from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
 from crawlmill.llm.url_filter import Rule, judge_urls, oracle_sql as url_oracle_sql
 
+BPE_FILE = "byte_bpe_50k.json"
 WORDS_FILE = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +100,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_neighbours")
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BPE_FILE)
+    encoded = encode(table(spark, sf_dir, "documents"), path).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+    )
+    decoded = decode(encoded, path, carry=["n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
