@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from crawlmill.llm.bpe import decode, encode
 from crawlmill.llm.common import table
 from crawlmill.llm.exact_dedup import exact_groups
+from crawlmill.llm.licenses import oracle_sql as license_oracle_sql, scan_licenses
 from crawlmill.llm.neighbours import nearest_neighbours
 from crawlmill.llm.packing import pack, text_cluster, word_count
 from crawlmill.llm.quality import score_quality
@@ -113,3 +114,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     decoded = decode(encoded, path, carry=["n_tokens", "ids_sha256"])
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@_query("op5_licenses", license_oracle_sql("SELECT doc_id AS id, concat_ws('/', source, lang, doc_id) AS path, coalesce(text, '') AS text FROM documents"))
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source and language are the directories."""
+    docs = table(spark, sf_dir, "documents")
+    return scan_licenses(docs.withColumn("path", F.concat_ws("/", "source", "lang", "doc_id")))

@@ -1,0 +1,111 @@
+import math
+from collections import Counter
+
+import duckdb
+import pytest
+import regex
+
+from crawlmill.llm.licenses import LEAST, LICENSE_FILE, TEMPLATES, WORD, ANCHOR, oracle_sql, scan_licenses
+
+NOTICE = dict((name, text) for name, text in TEMPLATES)
+FILES = [
+    (1, "a/LICENSE", "Preamble of the project\n\n" + NOTICE["MIT"] + "\n\nMore words that belong to nothing at all here"),
+    (2, "a/b/main.c", "no notice"),
+    (3, "a/b/c/deep.c", "int deep of many words\nLICENSED!! UNDER!! CC!! BY-NC!! 4.0.!!\nand yet more words that follow the notice"),
+    (4, "a/b/COPYING.txt", NOTICE["GPL-3.0"]),
+    (5, "a/b/c/other.c", None),
+    (6, "ab/other.c", ""),
+    (7, "top.c", "nothing"),
+    (8, "z/only.txt", "Licensed under the Apache License, Version 2.0."),
+    (9, "z/two.txt", "Released under the MIT License."),
+    (10, "z/q/r/s.txt", "the license is discussed here in many other words that no template has at all"),
+    (11, None, "Released under the MIT License."),
+    (12, None, "nothing"),
+    (13, "w/wrapped.c", "/*\n * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version.\n */\n\nint main;"),
+    (14, "long/x", "word " * 50000 + "\nReleased under the MIT License.\n" + "word " * 50000),
+    (7, "top.c", "nothing"),
+    (None, "z/none", "Released under the MIT License."),
+    (15, "/abs/LICENSE", "Licensed under CC BY 4.0."),
+    (16, "/abs/x/y", "nothing"),
+]
+
+
+def brute(files):
+    words = lambda t: regex.findall(WORD, t.lower())
+    texts = [t or "" for _, _, t in files]
+    df = Counter(w for t in texts for w in set(words(t)))
+    known = {w for _, t in TEMPLATES for w in words(t)}
+    idf = lambda w: math.log((1 + len(texts)) / (1 + (df[w] if w in known else 0))) + 1
+
+    def vector(text):
+        counts = Counter(words(text))
+        values = {w: n * idf(w) for w, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        return {w: v / norm for w, v in values.items()}
+
+    templates = [(name, vector(text)) for name, text in TEMPLATES]
+
+    def best(passage):
+        mine = vector(passage)
+        scored = [(-round(sum(v * t.get(w, 0) for w, v in mine.items()), 6), name) for name, t in templates]
+        return min(scored) if -min(scored)[0] >= LEAST else None
+
+    own, at = {}, {}
+    for (i, path, _), text in zip(files, texts):
+        for passage in {text, *regex.split(r"\n[\t\r ]*\n", text), *text.split("\n")}:
+            found = regex.search(ANCHOR, passage.lower()) and best(passage)
+            if found:
+                named = path and regex.search(LICENSE_FILE, path.rsplit("/", 1)[-1].lower())
+                own.setdefault(i, []).append((not (passage == text or named), *found))
+                at.setdefault((i, path), []).append(own[i][-1])
+    dirs = {}
+    for (_, path), found in at.items():
+        if path is not None and not min(found)[0]:
+            dirs.setdefault(path.rpartition("/")[0], []).append(min(found)[1:])
+    out = []
+    for i, path, _ in files:
+        if i is not None and i in own:
+            header, below, name = min(own[i])
+            out.append((i, name, -below, "header" if header else "file", None))
+            continue
+        above = path.rpartition("/")[0] if path is not None else None
+        while above is not None and above not in dirs:
+            above = above.rpartition("/")[0] if above else None
+        out.append((i, min(dirs[above])[1], None, "inherited", above) if above is not None else (i, None, None, None, None))
+    return out
+
+
+@pytest.fixture(scope="module")
+def files(spark):
+    return spark.createDataFrame([(*f, "x", 1.0) for f in FILES], "doc_id long, path string, text string, license string, idf double")
+
+
+def test_scan_equals_brute_force_and_sql(spark, files):
+    rows = sorted(map(tuple, scan_licenses(files.repartition(3)).collect()), key=str)
+    expected = sorted(brute(FILES), key=str)
+    assert [r[:2] + r[3:] for r in rows] == [e[:2] + e[3:] for e in expected]
+    assert [r[2] for r in rows] == pytest.approx([e[2] for e in expected], abs=2e-6)
+    by_id = {r[0]: r[1:] for r in rows}
+    assert by_id[2][0] == "GPL-3.0" and by_id[2][3] == "a/b" and by_id[5][3] == "a/b" and by_id[16][0] == "CC-BY-4.0"
+    assert by_id[3][::2] == ("CC-BY-NC-4.0", "header") and by_id[13][0] == "GPL-2.0" and by_id[14][2] == "header"
+    assert by_id[10][2] == "inherited" and by_id[1][2] == "file" and by_id[6][0] is None
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE f (id BIGINT, path VARCHAR, text VARCHAR)")
+    duck.executemany("INSERT INTO f VALUES (?, ?, ?)", FILES)
+    sql = oracle_sql("SELECT id, path, coalesce(text, '') AS text FROM f")
+    assert sorted(duck.execute(sql).fetchall(), key=str) == rows
+
+
+def test_every_template_is_found_as_itself(spark):
+    docs = spark.createDataFrame([(n, f"d{n}/f", text) for n, (_, text) in enumerate(TEMPLATES)], "doc_id int, path string, text string")
+    for row in scan_licenses(docs).collect():
+        assert (row.license, row.score, row.origin) == (TEMPLATES[row.doc_id][0], 1.0, "file")
+
+
+def test_empty_table(spark, files):
+    assert scan_licenses(files.limit(0)).collect() == []
+
+
+def test_main_path_has_no_python(spark, files):
+    plan = scan_licenses(files)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
