@@ -24,7 +24,7 @@ SEARCH_DOMAINS = ["example.org", "ex.mple.com"]
 
 # Robots text by host prefix; hosts that fit no prefix have none yet.
 ROBOTS = (
-    ("m.", "User-agent: *\nDisallow: /en/\nCrawl-delay: 7\nSitemap: http://m.example.org/map.xml  \n"),
+    ("m.", "User-agent: *\nDisallow: /en/\nCrawl-delay: 86400\nSitemap: http://m.example.org/map.xml  \n"),
     ("www.", "User-agent: bot\nDisallow: /\n\nUser-agent: x\nUser-agent: *\n# note\n \n"
              "Allow: /en/1\nDisallow: /en/\nCrawl-delay: 3\nCrawl-delay: 0.5\n\n"
              "User-agent: *\nDisallow: /\nSitemap:none\nSitemap: http://www.example.org/a.xml\r\n"
@@ -54,6 +54,23 @@ EXTRA_MARKUP = (
     '<span onclick="location.href = \'/w\'">w</span><span onclick="window.open(\'/w\')">w</span>'
     '<link href="/l/{id}"><!-- <a href="/hidden/{id}">h</a> -->'
     '<script>var s = "<a href=\'/hidden/{id}\'>";</script>'
+    '<a href="/r/&eacute;&#233;&#x00000000E9;/&scaron;{id}">r</a><a href="/r/&#38;lt;&#150;&copy/{id}">r</a>'
+    '<span onclick="location.href=&#39;/r/&amp;&#38;amp;/&ouml{id}&#39;">r</a></span>'
+    '<img src="/r/&Auml;&#xfc;{id}.png">'
+)
+# The character references above and what they mean, as a reader of HTML decodes them once.
+REFERENCES = (
+    ("&eacute;", "é"), ("&#233;", "é"), ("&#x00000000E9;", "é"), ("&scaron;", "š"), ("&#38;", "&"),
+    ("&#150;", "–"), ("&copy", "©"), ("&#39;", "'"), ("&amp;", "&"), ("&ouml", "ö"),
+    ("&Auml;", "Ä"), ("&#xfc;", "ü"), ("&#x73;", "s"), ("&ntilde;", "ñ"),
+)
+# Markup of every page whose id leaves LONG_REST when divided by LONG_STEP: names that no column of a
+# crawl database holds.
+LONG_STEP, LONG_REST = 50, 7
+LONG_NAME = "x" * 3100
+LONG_MARKUP = (
+    f'<a href="/long/{LONG_NAME}/{{id}}">l</a><a href="/long/{LONG_NAME}/{{id}}.pdf">l</a>'
+    f'<img src="/long/{LONG_NAME[:300]}{{id}}.png">'
 )
 
 TREE = 4  # source of the links between pages, after href, onclick and image
@@ -105,7 +122,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "domain", robots.alias("robots_content"),
         F.lit(None).cast("string").alias("sitemap_content"),
         F.when(robots.isNotNull(), access).alias("next_acces"),
-        F.when(robots.isNotNull(), F.col("id") % 5 + 2).cast("short").alias("delay"),
+        F.when(robots.isNotNull(), F.col("id") % 5 + 2).cast("int").alias("delay"),
     )
 
 
@@ -118,14 +135,18 @@ def fetched_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sitemap files of every host, each with at most ``SITEMAP_BLOCK`` pages."""
+    """Sitemap responses of every host, each with at most ``SITEMAP_BLOCK`` pages.
+
+    Files with an odd number of a host that begins with "th" are missing on the server.
+    """
     block = F.floor(F.col("page_id") / SITEMAP_BLOCK).cast("long")
     listed = F.array_sort(F.collect_list(F.struct("page_id", "url")))
     urls = F.transform(listed, lambda p: F.concat(F.lit("<url><loc>"), p["url"], F.lit("</loc></url>")))
     invented = F.concat(
         F.lit("<url><LOC>/only-in-sitemap/"), F.col("block").cast("string"),
         F.lit("</LOC></url><image:loc>/no</image:loc>"
-              "<loc>http://elsewhere.example.org/s</loc><loc>ftp://f.example.org/s</loc>"),
+              "<loc>http://elsewhere.example.org/s</loc><loc>ftp://f.example.org/s</loc>"
+              "<loc>http://elsewhere.example.org/&#x73;&ntilde;&amp;&#38;lt;</loc>"),
     )
     return (
         pages(spark, sf_dir)
@@ -133,10 +154,14 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(urls.alias("urls"))
         .select("domain", "block", F.concat(
             F.lit(SITEMAP_HEAD), F.array_join("urls", ""), invented
-        ).alias("sitemap_content"))
+        ).alias("sitemap_content"), sitemap_status(F.col("domain"), F.col("block")).alias("status"))
     )
 
 
+def sitemap_status(domain: Column, block: Column) -> Column:
+    return F.when(domain.startswith("th") & (block % 2 == 1), 404).otherwise(200)
+
+
 def tree_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A binary tree over the page ids, with links in both directions: ``src, dst``."""
     child = pages(spark, sf_dir).where(F.col("page_id") > 0).select("page_id")
@@ -168,10 +193,16 @@ def tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages with more markup behind them."""
-    extra = F.replace(F.lit(EXTRA_MARKUP), F.lit("{id}"), F.col("page_id").cast("string"))
+    page_id = F.col("page_id")
+    extra = F.concat(F.lit(EXTRA_MARKUP), F.when(has_long_names(page_id), LONG_MARKUP).otherwise(""))
+    extra = F.replace(extra, F.lit("{id}"), page_id.cast("string"))
     return pages(spark, sf_dir).select("page_id", "url", F.concat("html", extra).alias("html"))
 
 
+def has_long_names(page_id: Column) -> Column:
+    return page_id % LONG_STEP == LONG_REST
+
+
 def status_of(page_id: Column) -> Column:
     last = page_id % 10
     return F.when(last == 1, 404).when(last == 2, 500).when(last != 0, 200).cast("int")
@@ -191,12 +222,14 @@ def link_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files behind some of the links: the page's own text as PDF and as image."""
     page_id = F.col("page_id").cast("string")
     origin = F.concat(url_scheme(F.col("url")), F.lit("://"), url_netloc(F.col("url")))
+    names = [("/f/", ".pdf"), ("/i/", ".PNG")]
+    long_names = [(f"/long/{LONG_NAME}/", ".pdf"), (f"/long/{LONG_NAME[:300]}", ".png")]
+    urls = lambda parts: F.array(*[F.concat(origin, F.lit(a), page_id, F.lit(b)) for a, b in parts])
     return enriched_pages(spark, sf_dir).select(
         F.encode("html", "UTF-8").alias("content"),
-        F.explode(F.array(
-            F.concat(origin, F.lit("/f/"), page_id, F.lit(".pdf")),
-            F.concat(origin, F.lit("/i/"), page_id, F.lit(".PNG")),
-        )).alias("url"),
+        F.explode(
+            F.when(has_long_names(F.col("page_id")), urls(names + long_names)).otherwise(urls(names))
+        ).alias("url"),
     )
 
 
@@ -224,6 +257,8 @@ def frontier_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(user % 3 == 0, F.lit(None).cast("timestamp_ntz"))
         .when(user % 2 == 0, ntz(OPENED)).otherwise(ntz(OPENS_LATER))
     )
-    return table(spark, sf_dir, "events").select(user).distinct().select(
-        user.alias("id"), access.alias("next_acces"), (user % 7 + 1).cast("short").alias("delay")
+    # Every eleventh site is not known yet.
+    known = table(spark, sf_dir, "events").select(user).distinct().where(user % 11 != 5)
+    return known.select(
+        user.alias("id"), access.alias("next_acces"), (user % 7 + 1).cast("int").alias("delay")
     )

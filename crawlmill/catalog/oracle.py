@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from crawlmill import constants as C
 from crawlmill.catalog import fixtures as X
+from crawlmill.limits import COLUMN_LIMITS
 
 
 def _text(value: str) -> str:
@@ -26,6 +27,20 @@ STRIP_CLASS = r"[\t-\r\x1c-\x1f\x{85}\pZ]"
 EXTRA = " || CAST(p.page_id AS VARCHAR) || ".join(
     _text(part) for part in X.EXTRA_MARKUP.split("{id}")
 )
+LONG = " || CAST(p.page_id AS VARCHAR) || ".join(
+    _text(part) for part in X.LONG_MARKUP.split("{id}")
+)
+LONG_PAGE = f"page_id % {X.LONG_STEP} = {X.LONG_REST}"
+LONG_FILES = (("/long/" + X.LONG_NAME + "/", ".pdf"), ("/long/" + X.LONG_NAME[:300], ".png"))
+
+
+def _decoded(text: str) -> str:
+    """``text`` with the known references decoded once: an ampersand that comes out is set aside."""
+    for reference, character in X.REFERENCES:
+        text = f"replace({text}, {_text(reference)}, {'chr(1)' if character == '&' else _text(character)})"
+    return f"replace({text}, chr(1), '&')"
+
+
 ROBOTS_CASE = "CASE " + " ".join(
     f"WHEN starts_with(domain, {_text(prefix)}) THEN {_text(text)}" for prefix, text in X.ROBOTS
 ) + " END"
@@ -144,25 +159,30 @@ STEPS: dict[str, str] = {
         SELECT t.src AS page_id, p.url, CAST(greatest(dst - 2 * t.src, 0) AS INTEGER) AS pos,
                q.url AS raw
         FROM tree t JOIN pages p ON p.page_id = t.src JOIN pages q ON q.page_id = t.dst""",
-    "enriched": f"SELECT p.page_id, p.url, p.html || {EXTRA} AS html FROM pages p",
+    "enriched": f"""
+        SELECT p.page_id, p.url, p.html || {EXTRA} || CASE WHEN p.{LONG_PAGE} THEN {LONG} ELSE '' END
+                   AS html
+        FROM pages p""",
     "response": """
         SELECT page_id, url, html, CAST(CASE page_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 404
                    WHEN 2 THEN 500 ELSE 200 END AS INTEGER) AS status,
                'FRONTIER' AS old_type,
                CAST(CASE WHEN page_id % 20 = 1 THEN 404 END AS INTEGER) AS old_status
         FROM enriched""",
-    "files": """
+    "files": f"""
         SELECT o.scheme || '://' || o.domain || k.prefix || CAST(page_id AS VARCHAR) || k.suffix
                    AS url, html
         FROM enriched JOIN own o USING (page_id)
-        CROSS JOIN (VALUES ('/f/', '.pdf'), ('/i/', '.PNG')) k(prefix, suffix)""",
+        CROSS JOIN (VALUES ('/f/', '.pdf', true), ('/i/', '.PNG', true),
+            {", ".join(f"({_text(a)}, {_text(b)}, false)" for a, b in LONG_FILES)}) k(prefix, suffix, always)
+        WHERE always OR {LONG_PAGE}""",
     "queue": """
         SELECT event_id AS page_id, user_id AS site_id, ts AS time_added,
                event_type = 'error' AS occupied FROM events""",
     "queue_site": f"""
         SELECT DISTINCT user_id AS id, CASE WHEN user_id % 3 = 0 THEN NULL
                    WHEN user_id % 2 = 0 THEN {OPENED} ELSE {OPENS_LATER} END AS next_acces,
-               user_id % 7 + 1 AS delay FROM events""",
+               user_id % 7 + 1 AS delay FROM events WHERE user_id % 11 <> 5""",
     # --- extraction -----------------------------------------------------------------
     "markup": """
         SELECT page_id, url, regexp_replace(html,
@@ -178,8 +198,8 @@ STEPS: dict[str, str] = {
     "raw_links": f"""
         SELECT page_id, url AS from_url, source, CAST(n - 1 AS INTEGER) AS pos,
                {_scheme('url')} AS scheme, {_netloc('url')} AS host,
-               replace(CASE WHEN left(val, 1) IN ('"', '''') THEN substr(val, 2, length(val) - 2)
-                       ELSE val END, '&amp;', '&') AS raw
+               {_decoded("""CASE WHEN left(val, 1) IN ('"', '''') THEN substr(val, 2, length(val) - 2)
+                       ELSE val END""")} AS raw
         FROM (SELECT page_id, url, source, unnest(vals) AS val,
                      generate_subscripts(vals, 1) AS n FROM found)
         UNION ALL
@@ -264,7 +284,8 @@ STEPS: dict[str, str] = {
               UNION ALL
               SELECT DISTINCT domain, block, k.kind, 0, replace(k.loc, '{block}', CAST(block AS VARCHAR))
               FROM sitemap CROSS JOIN (VALUES (1, '/only-in-sitemap/{block}'),
-                   (2, 'http://elsewhere.example.org/s'), (3, 'ftp://f.example.org/s')) k(kind, loc))""",
+                   (2, 'http://elsewhere.example.org/s'), (3, 'ftp://f.example.org/s'),
+                   (4, 'http://elsewhere.example.org/sñ&&lt;')) k(kind, loc))""",
     "loc_urls": f"""
         SELECT domain, block, pos, url FROM (
             SELECT domain, block, pos, netloc, {_canonical('scheme', 'netloc', 'path')} AS url
@@ -421,9 +442,9 @@ LINK_COLUMNS = "page_id, pos, raw, url, cls"
 SCHEDULE = f"""
     SELECT page_id, site_id, rank AS site_rank,
            greatest(coalesce(next_acces, {AS_OF}), {AS_OF})
-               + to_seconds((rank - 1) * delay) AS fetch_time
+               + to_seconds((rank - 1) * coalesce(delay, {C.DEFAULT_CRAWL_DELAY})) AS fetch_time
     FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY time_added, page_id) AS rank
-          FROM queue) JOIN queue_site ON queue_site.id = site_id"""
+          FROM queue) LEFT JOIN queue_site ON queue_site.id = site_id"""
 
 
 def sql() -> dict[str, str]:
@@ -442,6 +463,12 @@ def sql() -> dict[str, str]:
             SELECT i.page_id, i.url, filename, content_type, {AS_OF} AS accessed_time,
                    octet_length(encode(html)) AS n_bytes, md5(html) AS data_md5
             FROM image_rows i JOIN files f ON f.url = i.url""",
+        "rejected_rows": f"""
+            SELECT 'page' AS table_name, page_id, url, 'url longer than {COLUMN_LIMITS.url}' AS reason
+            FROM page_links WHERE length(url) > {COLUMN_LIMITS.url}
+            UNION ALL
+            SELECT 'image', page_id, url, 'filename longer than {COLUMN_LIMITS.filename}'
+            FROM image_rows WHERE length(filename) > {COLUMN_LIMITS.filename}""",
         "write_tables": """
             SELECT (SELECT max(page_id) FROM pages)
                        + row_number() OVER (ORDER BY page_id, source, pos) AS id,
@@ -516,7 +543,7 @@ def sql() -> dict[str, str]:
             SELECT url, domain AS site_domain, {_domain('url')} AS url_host,
                    'FRONTIER' AS page_type_code, {AS_OF} AS accessed_time, {AS_OF} AS time_added
             FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY domain, block, pos) AS rn
-                  FROM loc_urls)
+                  FROM loc_urls WHERE NOT (starts_with(domain, 'th') AND block % 2 = 1))
             WHERE rn = 1 AND url NOT IN (SELECT url FROM page_links WHERE source < 3)""",
         "frontier_ready": "SELECT * FROM ready",
         "frontier_pop": "SELECT * FROM ready ORDER BY time_added, page_id LIMIT 1",
@@ -538,7 +565,7 @@ def sql() -> dict[str, str]:
             SELECT page_id, CASE WHEN occupied THEN {AS_OF} ELSE time_added END AS time_added,
                    false AS occupied FROM queue""",
         "fetch_schedule": SCHEDULE,
-        "fetch_schedule_split": SCHEDULE,
+        "fetch_schedule_split": SCHEDULE.replace("FROM queue)", "FROM queue WHERE NOT occupied)"),
         "stream_schedule": SCHEDULE,
         "page_state": """
             SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'no response'
@@ -564,7 +591,7 @@ def sql() -> dict[str, str]:
             FROM next_pages GROUP BY ROLLUP (domain, page_type_code, http_status_code)""",
         "bfs_levels": """
             reach AS (
-                SELECT url, 0 AS level FROM canon WHERE page_id = (SELECT min(page_id) FROM pages)
+                SELECT url, 0 AS level FROM canon WHERE page_id IN (SELECT id FROM hosts)
                 UNION
                 SELECT e.to_url, level + 1 FROM reach JOIN edges e ON e.from_url = reach.url
                 WHERE level < 40)
@@ -601,17 +628,20 @@ def sql() -> dict[str, str]:
         "SELECT page_id, url, domain, decision FROM decisions", robots="current"
     )
     result["site_update"] = _with(f"""
-        SELECT domain, CASE WHEN c.first_visit OR fetched
-                   THEN {AS_OF} + to_seconds(CASE WHEN c.first_visit THEN delay ELSE stored END)
+        SELECT domain, CASE WHEN c.first_visit OR fetched > 0
+                   THEN {AS_OF} + to_seconds(greatest(fetched, CAST(c.first_visit AS INTEGER))
+                       * CASE WHEN c.first_visit THEN delay ELSE stored END)
                    ELSE next_acces END AS next_acces,
-               CAST(CASE WHEN c.first_visit THEN delay ELSE stored END AS SMALLINT) AS delay
+               CAST(CASE WHEN c.first_visit THEN delay ELSE stored END AS INTEGER) AS delay
         FROM current c JOIN delays USING (domain)
-        JOIN (SELECT domain, bool_or(decision = 'FETCH') AS fetched FROM decisions GROUP BY domain)
+        JOIN (SELECT domain, count(*) FILTER (decision = 'FETCH') AS fetched FROM decisions GROUP BY domain)
             USING (domain)""", robots="current")
-    result["apply_forbidden"] = _with("""
+    result["apply_forbidden"] = _with(f"""
         SELECT page_id AS id,
                CASE decision WHEN 'FORBIDDEN' THEN decision ELSE old_type END AS page_type_code,
-               CASE WHEN decision <> 'FORBIDDEN' THEN old_status END AS http_status_code
+               CASE WHEN decision <> 'FORBIDDEN' THEN old_status END AS http_status_code,
+               CASE WHEN decision = 'FORBIDDEN' THEN {AS_OF} END AS accessed_time,
+               decision <> 'FORBIDDEN' AS queued
         FROM decisions JOIN (SELECT page_id, old_type, old_status FROM response) USING (page_id)""",
         robots="current")
     result["process_batch"] = _with(f"""

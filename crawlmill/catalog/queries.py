@@ -14,6 +14,7 @@ from crawlmill.functions import html as H
 from crawlmill.functions.urls import (
     in_scope, site_of, url_netloc, url_path, url_scheme, with_canonical_url,
 )
+from crawlmill.limits import COLUMN_LIMITS
 from crawlmill.operators import (
     assets, content, discovery, frontier as FR, links as L, reports, robots as R, tables as T,
     transitions,
@@ -104,6 +105,21 @@ def image_assets(spark, sf_dir):
     )
 
 
+@query
+def rejected_rows(spark, sf_dir):
+    """What the columns of a crawl database would keep out, with the reason."""
+    step = discovery.discover(
+        _page_links(spark, sf_dir), X.canonical_pages(spark, sf_dir), X.sites(spark, sf_dir),
+        LINK_ORDER, X.AS_OF, COLUMN_LIMITS,
+    )
+    images = assets.image_rows(_links(spark, sf_dir, (L.IMAGE,)), X.AS_OF)
+    return step.rejected.select(F.lit("page").alias("table_name"), "page_id", "url", "reason").unionByName(
+        writers.rejected(images, "image", COLUMN_LIMITS).select(
+            F.lit("image").alias("table_name"), "page_id", "url", "reason"
+        )
+    )
+
+
 @query
 def write_tables(spark, sf_dir):
     """New pages get dense ids behind the known ones and go through the page table."""
@@ -419,10 +435,19 @@ def site_update(spark, sf_dir):
 
 @query
 def apply_forbidden(spark, sf_dir):
-    forbidden = transitions.forbid(_decisions(spark, sf_dir)).withColumnRenamed("page_id", "id")
-    return T.apply_updates(
-        _page_snapshot(spark, sf_dir), forbidden, "id", ["page_type_code", "http_status_code"]
-    ).select("id", "page_type_code", "http_status_code")
+    """Pages after the decisions, and whether they are still in the frontier."""
+    forbidden = materialize(transitions.forbid(_decisions(spark, sf_dir), X.AS_OF), "forbidden")
+    before = _page_snapshot(spark, sf_dir).withColumn("accessed_time", F.lit(None).cast("timestamp_ntz"))
+    after = T.apply_updates(
+        before, forbidden.withColumnRenamed("page_id", "id"), "id",
+        ["page_type_code", "http_status_code", "accessed_time"],
+    )
+    queue = FR.remove(before.select(F.col("id").alias("page_id")), forbidden)
+    queued = queue.select(F.col("page_id").alias("id"), F.lit(True).alias("_queued"))
+    return after.join(queued, "id", "left").select(
+        "id", "page_type_code", "http_status_code", "accessed_time",
+        F.coalesce("_queued", F.lit(False)).alias("queued"),
+    )
 
 
 @query
@@ -514,10 +539,13 @@ def fetch_schedule(spark, sf_dir):
 
 @query
 def fetch_schedule_split(spark, sf_dir):
-    """The same schedule with every larger site numbered from the global sort."""
-    return FR.fetch_schedule(
-        _queued(spark, sf_dir), X.frontier_sites(spark, sf_dir), X.AS_OF, max_group_rows=60
-    ).select("page_id", "site_id", "site_rank", "fetch_time")
+    """The schedule of the rows that are free."""
+    free = _queued(spark, sf_dir).join(
+        X.frontier(spark, sf_dir).where(~F.col("occupied")).select("page_id"), "page_id", "left_semi"
+    )
+    return FR.fetch_schedule(free, X.frontier_sites(spark, sf_dir), X.AS_OF).select(
+        "page_id", "site_id", "site_rank", "fetch_time"
+    )
 
 
 # --- page state ----------------------------------------------------------------------
@@ -614,10 +642,12 @@ def _corpus_edges(spark, sf_dir) -> DataFrame:
 
 @query
 def bfs_levels(spark, sf_dir):
-    """Levels of everything reachable from the first page."""
+    """Levels of everything reachable from the first page of every host."""
     edges = materialize(_corpus_edges(spark, sf_dir), "edges")
-    first = X.canonical_pages(spark, sf_dir).orderBy("page_id").limit(1)
-    seeds = first.select("url", F.col("page_id").alias("seed_order"))
+    first = X.sites(spark, sf_dir).select(F.col("id").alias("page_id"))
+    seeds = X.canonical_pages(spark, sf_dir).join(first, "page_id", "left_semi").select(
+        "url", F.col("page_id").alias("seed_order")
+    )
     return search_levels(edges, seeds, ("page_id", "source", "pos")).select("url", "level")
 
 
@@ -701,7 +731,8 @@ def stream_schedule(spark, sf_dir):
         F.col("event_id").alias("page_id"), F.col("user_id").alias("site_id"),
         F.col("ts").alias("time_added"),
     )
-    jobs.schedule_stream(arriving, X.frontier_sites(spark, sf_dir), X.AS_OF, root).awaitTermination()
+    current = lambda session: X.frontier_sites(session, sf_dir)
+    jobs.schedule_stream(arriving, current, X.AS_OF, root).awaitTermination()
     return jobs.read_batches(spark, f"{root}/schedule").select(
         "page_id", "site_id", "site_rank", "fetch_time"
     )

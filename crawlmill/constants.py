@@ -1,7 +1,7 @@
 """Fixed values.
 
 Everything in this module is data that results depend on (patterns, word lists,
-code tables, size limits, defaults). They are stated once, here, and used elsewhere
+code tables, defaults). They are stated once, here, and used elsewhere
 by name.
 """
 
@@ -36,20 +36,10 @@ STORED_IMAGE_TYPES = ("img", "png", "jpg")
 # --- robots ---------------------------------------------------------------------
 SITEMAP_DIRECTIVE = r"Sitemap: ([^\n]*)"
 DEFAULT_CRAWL_DELAY = 4  # seconds
-MAX_CRAWL_DELAY = 32767  # what the delay column holds
 
 # --- code tables ----------------------------------------------------------------
 PAGE_TYPES = ("HTML", "BINARY", "DUPLICATE", "FRONTIER", "FORBIDDEN")
 DATA_TYPES = ("PDF", "DOC", "DOCX", "PPT", "PPTX")
 
-# --- size limits ----------------------------------------------------------------
-MAX_URL_LENGTH = 3000
-MAX_DOMAIN_LENGTH = 500
-MAX_FILENAME_LENGTH = 255
-MAX_CONTENT_TYPE_LENGTH = 50
-MAX_CODE_LENGTH = 20
-DOCUMENT_BYTE_CAP = 2_000_000
-IMAGE_BYTE_CAP = 3_000_000
-
 # --- crawl configuration defaults -----------------------------------------------
 ERROR_STATUS = 400  # this status and above is an error

@@ -6,6 +6,8 @@ page and needs no deep recursion, however long a page is.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,33 +102,65 @@ def unquote_value(raw: Column) -> Column:
     return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode numeric references and the named ones that markup needs."""
-    def numeric(done: Column, reference: Column) -> Column:
-        code = F.when(
-            F.lower(reference).startswith("x"),
-            F.conv(F.substring(reference, 2, 8), 16, 10),
-        ).otherwise(reference)
-        number = code.cast("long")
-        surrogate = number.between(0xD800, 0xDFFF)  # no character of its own
-        scalar = F.when(surrogate, F.lit(0xFFFD)).otherwise(number)
-        character = F.decode(F.unhex(F.lpad(F.hex(scalar), 8, "0")), "UTF-32")
-        return F.replace(done, F.concat(F.lit("&#"), reference, F.lit(";")), character)
-
-    references = F.array_distinct(
-        F.regexp_extract_all(
-            text, F.lit(r"&#(0*[1-9][0-9]{0,5}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{0,4});"), F.lit(1)
-        )
+# A character reference as HTML reads it: numbers and names, also without a semicolon.
+_REFERENCE = r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that count without a semicolon and in front of other letters, the longest first.
+_OPEN_NAMES = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+# What numbers from 128 to 159 mean: Windows-1252, where that has a character.
+_WINDOWS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+_LAST_CHARACTER = 0x10FFFF
+
+
+def _named_characters() -> Column:
+    """The names of the standard with their characters, as one constant map."""
+    split = lambda texts: F.split(F.lit("\x01".join(texts)), "\x01")
+    return F.map_from_arrays(split(html5.keys()), split(html5.values()))
+
+
+def _character(number: Column) -> Column:
+    """The character of a number as HTML reads it; empty for what is no character."""
+    invalid = (
+        number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
+        | number.between(0xFDD0, 0xFDEF) | (number % 0x10000 >= 0xFFFE)
+    )
+    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return (
+        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > _LAST_CHARACTER), "\ufffd")
+        .when(number.between(128, 159), F.get(F.array(*map(F.lit, _WINDOWS)), (number - 128).cast("int")))
+        .when(invalid, "")
+        .otherwise(plain)
     )
-    decoded = F.when(
-        F.contains(text, F.lit("&#")), F.aggregate(references, text, numeric)
-    ).otherwise(text)
-    for entity, character in (
-        ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
-        ("&nbsp;", "\u00a0"), ("&amp;", "&"),
-    ):
-        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def _decoded_reference(reference: Column) -> Column:
+    def number(digits: Column, base: int, most: int) -> Column:
+        # Zeros in front are no digits; longer numbers are beyond all characters.
+        held = F.regexp_replace(digits, "^0+(?=.)", "")
+        return F.when(F.length(held) > most, _LAST_CHARACTER + 1).otherwise(F.conv(held, base, 10).cast("long"))
+
+    decimal = F.regexp_extract(reference, "^&#([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+)", 1)
+    name = F.substring(reference, F.lit(2), F.length(reference))
+    start = F.regexp_extract(name, _OPEN_NAMES, 0)
+    known = _named_characters()
+    named = F.coalesce(
+        F.try_element_at(known, name),
+        F.concat(F.try_element_at(known, start), F.substring(name, F.length(start) + 1, F.length(name))),
+        reference,
+    )
+    return (
+        F.when(decimal != "", _character(number(decimal, 10, 7)))
+        .when(hexadecimal != "", _character(number(hexadecimal, 16, 6)))
+        .otherwise(named)
+    )
+
+
+def decode_entities(text: Column) -> Column:
+    """Decode all character references in one pass from left to right, as HTML parsers do."""
+    between = F.split(text, _REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), _decoded_reference)
+    joined = F.zip_with(between, found, lambda plain, character: F.concat(plain, F.coalesce(character, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(joined, "")).otherwise(text)
 
 
 def normalized_content(body: Column) -> Column:

@@ -13,5 +13,9 @@ def ntz(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+# Some thousand years: what is added stays within the times that a timestamp can hold.
+_LONGEST = 100_000_000_000
+
+
 def plus_seconds(moment: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("long"), moment)
+    return F.timestamp_add("SECOND", F.least(seconds.cast("long"), F.lit(_LONGEST)), moment)

@@ -9,22 +9,28 @@ from pyspark.sql import functions as F
 
 from crawlmill import constants as C
 from crawlmill.functions.times import ntz
+from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.operators.links import DOCUMENT, PICTURE
 
 
-def _bodies(rows: DataFrame, files: DataFrame | None, cap: int) -> DataFrame:
-    """Join file contents by URL; only the first ``cap`` bytes are kept.
+def _bodies(rows: DataFrame, files: DataFrame | None, cap: int | None) -> DataFrame:
+    """Join file contents by URL as ``data``; ``is_cut`` tells whether ``cap`` took something off.
 
     Without ``files`` the data column is NULL. A file that is missing there failed to
     load, and its row is lost. Contents are cut before the join.
     """
     if files is None:
-        return rows.withColumn("data", F.lit(None).cast("binary"))
-    cut = files.select("url", F.substring("content", 1, cap).alias("data"))
-    return rows.join(cut, "url")
+        return rows.withColumns({"data": F.lit(None).cast("binary"), "is_cut": F.lit(False)})
+    content = F.col("content")
+    data, is_cut = (content, F.lit(False)) if cap is None else (
+        F.substring(content, 1, cap), F.octet_length(content) > cap
+    )
+    return rows.join(files.select("url", data.alias("data"), is_cut.alias("is_cut")), "url")
 
 
-def document_rows(links: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def document_rows(
+    links: DataFrame, files: DataFrame | None = None, limits: Limits = NO_LIMITS
+) -> DataFrame:
     """``page_data`` rows: the type is the upper-cased text after the last dot.
 
     Types without a code (for instance PDFX) are rejected by the code table.
@@ -32,13 +38,16 @@ def document_rows(links: DataFrame, files: DataFrame | None = None) -> DataFrame
     rows = links.where(F.col("cls") == DOCUMENT).select(
         "page_id", "url", F.upper(F.substring_index("url", ".", -1)).alias("data_type_code")
     ).where(F.col("data_type_code").isin(*C.DATA_TYPES))
-    return _bodies(rows, files, C.DOCUMENT_BYTE_CAP)
+    return _bodies(rows, files, limits.document_bytes)
 
 
 def image_rows(
-    links: DataFrame, as_of: datetime, files: DataFrame | None = None
+    links: DataFrame, as_of: datetime, files: DataFrame | None = None, limits: Limits = NO_LIMITS
 ) -> DataFrame:
-    """``image`` rows: the file name is the URL before the last dot, without dots."""
+    """``image`` rows: the file name is the URL before the last dot, without dots.
+
+    Names that are too long for a table are the business of the writer, which returns them.
+    """
     name = F.replace(
         F.regexp_extract("url", r"^(.*)\.[^.]*$", 1), F.lit("."), F.lit("")
     )
@@ -46,8 +55,5 @@ def image_rows(
         "page_id", "url", name.alias("filename"),
         F.lower(F.substring_index("url", ".", -1)).alias("content_type"),
         ntz(as_of).alias("accessed_time"),
-    ).where(
-        F.col("content_type").isin(*C.STORED_IMAGE_TYPES)
-        & (F.length("filename") <= C.MAX_FILENAME_LENGTH)
-    )
-    return _bodies(rows, files, C.IMAGE_BYTE_CAP)
+    ).where(F.col("content_type").isin(*C.STORED_IMAGE_TYPES))
+    return _bodies(rows, files, limits.image_bytes)

@@ -35,14 +35,14 @@ def content_verdicts(
 ) -> DataFrame:
     """Add ``page_type_code``: HTML for the first page of a content, else DUPLICATE.
 
-    ``known_hashes`` are contents stored before. Pages without a hash get NULL. Only ids
-    and hashes are shuffled, and the way back to the pages is a join on the unique page
-    id, so no group of copies ever meets in one task.
+    ``known_hashes`` are contents stored before, with the id of their page in ``key``: a
+    page that is visited again is no duplicate of itself. Without that column they belong
+    to other pages. Pages without a hash get NULL. Only ids and hashes are shuffled, and the
+    way back to the pages is a join on the unique page id, so no group of copies ever meets
+    in one task.
     """
-    first = first_holders(pages, order, key)
-    if known_hashes is not None:
-        first = first.join(known_hashes.select("content_hash"), "content_hash", "left_anti")
-    first = first.select(key, F.lit(True).alias("_first"))
+    fresh = pages if known_hashes is None else _not_held_elsewhere(pages, known_hashes, key)
+    first = first_holders(fresh, order, key).select(key, F.lit(True).alias("_first"))
     verdict = F.when(
         F.col("content_hash").isNotNull(),
         F.when(F.col("_first"), "HTML").otherwise("DUPLICATE"),
@@ -54,6 +54,22 @@ def content_verdicts(
     )
 
 
+def _hash_ends(stored: DataFrame, key: str) -> DataFrame:
+    """The least and the greatest id of each hash."""
+    return stored.where(F.col("content_hash").isNotNull()).groupBy("content_hash").agg(
+        F.min(key).alias("_least"), F.max(key).alias("_greatest")
+    )
+
+
+def _not_held_elsewhere(pages: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Ids and hashes of the pages whose hash no other stored page has."""
+    if key not in known.columns:
+        return pages.join(known.select("content_hash"), "content_hash", "left_anti")
+    ends = _hash_ends(known, key)
+    other = (pages[key] != ends["_least"]) | (pages[key] != ends["_greatest"])
+    return pages.join(ends, (pages["content_hash"] == ends["content_hash"]) & other, "left_anti")
+
+
 def seen_elsewhere(pages: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
     """Pages for which a stored page with the same hash and another id exists.
 
@@ -62,12 +78,7 @@ def seen_elsewhere(pages: DataFrame, stored: DataFrame, key: str = "id") -> Data
     then reads a plain shuffle on both sides, which is what Spark can split where many
     pages share a hash, and its measured size decides about a broadcast.
     """
-    ends = materialize(
-        stored.where(F.col("content_hash").isNotNull()).groupBy("content_hash").agg(
-            F.min(key).alias("_least"), F.max(key).alias("_greatest")
-        ),
-        "hash-ends",
-    )
+    ends = materialize(_hash_ends(stored, key), "hash-ends")
     other = (pages[key] != ends["_least"]) | (pages[key] != ends["_greatest"])
     return pages.join(
         ends, (pages["content_hash"] == ends["content_hash"]) & other, "left_semi"

@@ -9,9 +9,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlmill import constants as C
+from crawlmill import limits as S
 from crawlmill.functions.times import ntz
 from crawlmill.functions.urls import site_of
+from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.operators.ranking import first_per_key
 
 
@@ -42,7 +43,6 @@ def new_sites(found: DataFrame, sites: DataFrame) -> DataFrame:
     """Domains of found URLs that have no site row."""
     return (
         found.select("domain").distinct()
-        .where(F.length("domain") <= C.MAX_DOMAIN_LENGTH)
         .join(sites.select("domain"), "domain", "left_anti")
     )
 
@@ -59,11 +59,13 @@ class Discovery:
 
     ``found`` has one row per new URL: ``url, domain, from_url`` and the order columns.
     The other tables are projections of it, so write ``found`` once and use those.
+    ``rejected`` has the links that the caller's limits keep out, with ``reason``.
     """
 
     found: DataFrame
     sites: DataFrame
     as_of: datetime
+    rejected: DataFrame | None = None
 
     def new_sites(self) -> DataFrame:
         return new_sites(self.found, self.sites)
@@ -83,14 +85,18 @@ class Discovery:
         )
 
 
-def storable(links: DataFrame) -> DataFrame:
-    """Links whose URL fits the page table."""
-    return links.where(F.length("url") <= C.MAX_URL_LENGTH)
+def _texts(limits: Limits) -> dict[str, tuple[Column, int | None]]:
+    return {"url": (F.col("url"), limits.url), "domain": (site_of(F.col("url")), limits.domain)}
 
 
-def rejected(links: DataFrame) -> DataFrame:
-    """Links that are left out because their URL is too long."""
-    return links.where(F.length("url") > C.MAX_URL_LENGTH)
+def storable(links: DataFrame, limits: Limits = NO_LIMITS) -> DataFrame:
+    """Links whose URL, and its domain, fit the page and site tables."""
+    return S.fitting(links, _texts(limits))
+
+
+def rejected(links: DataFrame, limits: Limits = NO_LIMITS) -> DataFrame:
+    """Links that are left out because their URL or domain is too long, with ``reason``."""
+    return S.rejected(links, _texts(limits))
 
 
 def discover(
@@ -99,15 +105,16 @@ def discover(
     known_sites: DataFrame,
     order: Sequence[Column | str],
     as_of: datetime,
+    limits: Limits = NO_LIMITS,
 ) -> Discovery:
     """Page links (``url, from_url`` and order columns) to new rows.
 
     First occurrence and known-URL test both work by URL, so they share one shuffle of
     the links, and that one comes after the per-task limit to one row per URL.
     """
-    first = first_discovery(storable(links), order)
+    first = first_discovery(storable(links, limits), order)
     found = unseen_urls(first, known_pages).withColumn("domain", site_of(F.col("url")))
-    return Discovery(found, known_sites, as_of)
+    return Discovery(found, known_sites, as_of, rejected(links, limits))
 
 
 def seed_frontier(

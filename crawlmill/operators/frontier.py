@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlmill.constants import DEFAULT_CRAWL_DELAY
 from crawlmill.functions.times import ntz, plus_seconds
-from crawlmill.operators.ranking import MAX_GROUP_ROWS, first_n_per_key, rank_in_group
+from crawlmill.operators.ranking import first_n_per_key, rank_in_group
 
 
 def queue_order() -> list[Column]:
@@ -58,20 +59,22 @@ def fetch_schedule(
     urls: DataFrame,
     sites: DataFrame,
     as_of: datetime,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    default_delay: int = DEFAULT_CRAWL_DELAY,
 ) -> DataFrame:
     """When each allowed URL may be fetched: adds ``site_rank`` and ``fetch_time``.
 
     ``urls(page_id, site_id, time_added, ...)`` joins ``sites(id, next_acces, delay)``. The
     i-th URL of a site is due ``(i - 1) * delay`` seconds after the site opens. This is
-    the closed form of asking again and again with a moving next access time.
+    the closed form of asking again and again with a moving next access time. A site without
+    a row is open and has the default delay.
     """
-    ranked = rank_in_group(urls, "site_id", queue_order(), "site_rank", max_group_rows)
+    ranked = rank_in_group(urls, "site_id", queue_order(), "site_rank")
     timing = sites.select(F.col("id").alias("site_id"), "next_acces", "delay")
     opens = F.greatest(F.coalesce(F.col("next_acces"), ntz(as_of)), ntz(as_of))
-    wait = (F.col("site_rank") - 1) * F.col("delay").cast("long")
+    delay = F.coalesce(F.col("delay"), F.lit(default_delay)).cast("long")
+    wait = (F.col("site_rank") - 1) * delay
     return (
-        ranked.join(timing, "site_id")
+        ranked.join(timing, "site_id", "left")
         .withColumn("fetch_time", plus_seconds(opens, wait))
         .drop("next_acces", "delay")
     )

@@ -1,8 +1,7 @@
 """Order numbers that survive hot groups.
 
-A window's ``row_number`` puts a whole group into one task. That is fine for ordinary
-groups; a group that holds a large share of all rows is numbered from a global sort
-instead, whose range partitions split it over many tasks.
+A window's ``row_number`` puts a whole group into one task. Ranks of all rows come from a
+global sort instead, whose range partitions split a group of any size over many tasks.
 """
 
 from __future__ import annotations
@@ -14,10 +13,6 @@ from pyspark.sql import functions as F
 
 from crawlmill.session import materialize
 
-# Rows one task may number on its own.
-MAX_GROUP_ROWS = 2_000_000
-
-
 def numbered(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """Add increasing unique numbers that follow ``order`` over the whole table.
 
@@ -50,31 +45,13 @@ def first_n_per_key(
 
 
 def rank_in_group(
-    df: DataFrame,
-    group: str,
-    order: Sequence[Column | str],
-    out: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, group: str, order: Sequence[Column | str], out: str
 ) -> DataFrame:
     """Dense rank 1, 2, 3, … of every row within its group; ``order`` must be total.
 
-    Group sizes are counted first (pre-aggregated, one number per group). The hot groups
-    number at most ``rows / max_group_rows``, so telling them apart is a small join.
+    The sorted rows are written to the shared folder; what a group has in earlier slices of
+    the sort is one narrow row per group and slice. A null group is a group.
     """
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")
-    hot = (
-        df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_group_rows)
-        .select(group)
-    )
-    if hot.isEmpty():
-        return df.withColumn(out, rank)
-    hot = materialize(hot, "hot-groups")
-    usual = df.join(hot, group, "left_anti").withColumn(out, rank)
-    return usual.unionByName(_rank_from_sort(df.join(hot, group, "left_semi"), group, order, out))
-
-
-def _rank_from_sort(df: DataFrame, group: str, order: Sequence[Column | str], out: str) -> DataFrame:
     placed = materialize(numbered(df, [F.col(group), *order], "_seq"), "sorted-groups")
     placed = placed.withColumn("_slice", F.shiftright("_seq", 33))
     # One row per group and sorted slice; a slice is a contiguous run of its group.
@@ -85,8 +62,10 @@ def _rank_from_sort(df: DataFrame, group: str, order: Sequence[Column | str], ou
         Window.unboundedPreceding, -1
     )
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    runs = runs.withColumnsRenamed({group: "_group", "_slice": "_run"})
+    same = placed[group].eqNullSafe(runs["_group"]) & (placed["_slice"] == runs["_run"])
     return (
-        placed.join(runs, [group, "_slice"])
+        placed.join(runs, same)
         .withColumn(out, F.col("_before") + F.col("_seq") - F.col("_start") + 1)
-        .drop("_seq", "_slice", "_before", "_start")
+        .drop("_seq", "_slice", "_before", "_start", "_group", "_run")
     )

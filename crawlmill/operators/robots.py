@@ -14,6 +14,7 @@ from crawlmill.functions.times import ntz, plus_seconds
 from crawlmill.functions.urls import (
     path_of, percent_decode, percent_encode, site_of, with_canonical_url,
 )
+from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.operators.discovery import first_discovery, storable, unseen_urls
 
 FETCH, DELAY, FORBIDDEN = "FETCH", "DELAY", "FORBIDDEN"
@@ -67,8 +68,8 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
     """Rules and crawl delay for any agent, per row of ``sites(robots_content, ...)``.
 
     Result: keep..., ``rules ARRAY<STRUCT<pos, allow, prefix>>`` in file order,
-    ``crawl_delay`` (as written, NULL if missing) and ``delay`` (never 0, and never more
-    than its column holds). A missing or empty file allows everything. A robots file is one value of one row, so reading it
+    ``crawl_delay`` (as written, NULL if missing) and ``delay`` (never 0). A missing or
+    empty file allows everything. A robots file is one value of one row, so reading it
     needs no shuffle.
 
     A file is a list of entries, and an entry is a run of user-agent lines followed at
@@ -98,7 +99,7 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
         .select(
             *keep,
             rules.alias("rules"),
-            _bounded_delay(F.try_element_at(delays, F.lit(-1))).alias("crawl_delay"),
+            _delay(F.try_element_at(delays, F.lit(-1))).alias("crawl_delay"),
         )
         .withColumn(
             "delay",
@@ -109,10 +110,9 @@ def robots_policies(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> Data
     )
 
 
-def _bounded_delay(digits: Column) -> Column:
-    """Delay as a number; one bad file must not stop the job of all."""
-    number = F.coalesce(digits.try_cast("int"), F.lit(C.MAX_CRAWL_DELAY))
-    return F.when(digits.isNotNull(), F.least(number, F.lit(C.MAX_CRAWL_DELAY)))
+def _delay(digits: Column) -> Column:
+    """Delay in seconds. What no int holds (68 years) stands for the largest one."""
+    return F.when(digits.isNotNull(), F.coalesce(digits.try_cast("int"), F.lit(2**31 - 1)))
 
 
 def robots_rules(sites: DataFrame, keep: Sequence[str] = ("domain",)) -> DataFrame:
@@ -158,8 +158,9 @@ def with_current_robots(sites: DataFrame, fetched: DataFrame | None = None) -> D
     """Site rows with ``first_visit`` and the robots text that holds from now on.
 
     A site without robots text is visited for the first time; its text comes from
-    ``fetched(domain, robots_content, sitemap_content)``. A missing file becomes the
-    empty text, which allows everything.
+    ``fetched(domain, robots_content, sitemap_content)``. Of several texts for a domain the
+    least one counts, so that a repeated job decides alike. A missing file becomes the empty
+    text, which allows everything.
     """
     first_visit = F.col("robots_content").isNull()
     if fetched is None:
@@ -167,10 +168,11 @@ def with_current_robots(sites: DataFrame, fetched: DataFrame | None = None) -> D
             "first_visit": first_visit,
             "robots_content": F.coalesce("robots_content", F.lit("")),
         })
-    new = fetched.dropDuplicates(["domain"]).select(
+    texts = F.min(F.struct("robots_content", "sitemap_content")).alias("_texts")
+    new = fetched.groupBy("domain").agg(texts).select(
         "domain",
-        F.col("robots_content").alias("_robots"),
-        F.col("sitemap_content").alias("_sitemap"),
+        F.col("_texts.robots_content").alias("_robots"),
+        F.col("_texts.sitemap_content").alias("_sitemap"),
     )
     return (
         sites.join(new, "domain", "left")
@@ -219,20 +221,21 @@ def fetch_decisions(urls: DataFrame, states: DataFrame, as_of: datetime) -> Data
 def site_update(decisions: DataFrame, as_of: datetime) -> DataFrame:
     """New values of the visited sites: ``domain, next_acces, delay``.
 
-    The next access moves on the first visit, whatever the verdict, and later only if
-    something is fetched. The decisions carry the state of their site, so one aggregation
-    is enough, and it reduces a site to one row per task before the shuffle.
+    Each fetched page moves the next access by one delay, so n pages of a site move it by n
+    delays. The first visit moves it by one at least, whatever the verdict. The decisions
+    carry the state of their site, so one aggregation is enough, and it reduces a site to
+    one row per task before the shuffle.
     """
     visits = decisions.where(F.col("first_visit").isNotNull()).groupBy("domain").agg(
-        F.max(F.col("decision") == FETCH).alias("_fetched"),
+        F.count_if(F.col("decision") == FETCH).alias("_fetched"),
         *[F.any_value(c).alias(c) for c in ("first_visit", "next_acces", "delay")],
     )
-    moved = F.col("first_visit") | F.col("_fetched")
+    visited = F.greatest("_fetched", F.col("first_visit").cast("long"))
     return visits.select(
         "domain",
-        F.when(moved, plus_seconds(ntz(as_of), F.col("delay")))
+        F.when(visited > 0, plus_seconds(ntz(as_of), visited * F.col("delay")))
         .otherwise(F.col("next_acces")).alias("next_acces"),
-        F.col("delay").cast("short").alias("delay"),
+        "delay",
     )
 
 
@@ -285,14 +288,17 @@ def sitemap_frontier(
     as_of: datetime,
     search_domains: Sequence[str] = (),
     order: Sequence[str] = ("domain",),
+    limits: Limits = NO_LIMITS,
 ) -> DataFrame:
     """New pages from sitemaps: ``url, site_domain, url_host``, frontier values, order columns.
 
+    ``sitemaps`` may be responses: with a column ``status`` only those of status 200 count.
     The page belongs to the requesting site even if its host is another one. Sitemap
     pages have no parent, so there are no links.
     """
     own = [c for c in order if c != "domain"]
-    urls = storable(sitemap_urls(sitemaps, search_domains, ["domain", *own]))
+    accepted = accepted_sitemaps(sitemaps) if "status" in sitemaps.columns else sitemaps
+    urls = storable(sitemap_urls(accepted, search_domains, ["domain", *own]), limits)
     ranked = first_discovery(urls, [*order, "pos"])
     return unseen_urls(ranked, known_pages).select(
         "url",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmill.constants import ERROR_STATUS
+from crawlmill.functions.times import ntz
 
 
 def page_state(status: Column) -> Column:
@@ -49,10 +52,14 @@ def page_transitions(responses: DataFrame, final_dequeue: bool = False) -> DataF
     })
 
 
-def forbid(decisions: DataFrame) -> DataFrame:
-    """Page values of forbidden pages: type FORBIDDEN and no status."""
+def forbid(decisions: DataFrame, as_of: datetime) -> DataFrame:
+    """Page values of forbidden pages: type FORBIDDEN, no status, accessed now.
+
+    The same rows tell which pages leave the frontier (``frontier.remove``).
+    """
     return decisions.where(F.col("decision") == "FORBIDDEN").select(
         "page_id",
         F.lit("FORBIDDEN").alias("page_type_code"),
         F.lit(None).cast("int").alias("http_status_code"),
+        ntz(as_of).alias("accessed_time"),
     )

@@ -264,7 +264,7 @@ class CrawlDb:
             .alias("sitemap_content"),
             F.when(moved, plus_seconds(ntz(as_of), turns * F.col("_delay")))
             .otherwise(F.col("next_acces")).alias("next_acces"),
-            F.when(seen, F.col("_delay").cast("short")).otherwise(F.col("delay")).alias("delay"),
+            F.when(seen, F.col("_delay")).otherwise(F.col("delay")).alias("delay"),
         )
 
     def _add_sitemaps(

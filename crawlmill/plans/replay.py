@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from crawlmill.functions.urls import site_of, with_canonical_url
 from crawlmill.operators import links as L
 from crawlmill.operators.content import content_verdicts
-from crawlmill.operators.discovery import first_discovery, storable, unseen_urls
+from crawlmill.operators.discovery import first_discovery, unseen_urls
 from crawlmill.operators.ranking import first_per_key, numbered
 from crawlmill.operators.robots import robots_policies, robots_verdicts, sitemap_urls
 from crawlmill.operators.transitions import page_transitions
@@ -75,9 +75,9 @@ def prepare_corpus(
     )
     return Corpus(**materialize_all(
         features=features.select("url", "status", "has_body", "content_hash"),
-        links=storable(links).select("from_url", "source", "pos", "url"),
+        links=links.select("from_url", "source", "pos", "url"),
         policies=policies,
-        sitemaps=storable(located),
+        sitemaps=located,
     ))
 
 

@@ -10,7 +10,7 @@ SITE = T.StructType([
     T.StructField("robots_content", T.StringType()),
     T.StructField("sitemap_content", T.StringType()),
     T.StructField("next_acces", T.TimestampNTZType()),
-    T.StructField("delay", T.ShortType()),
+    T.StructField("delay", T.IntegerType()),
 ])
 
 PAGE = T.StructType([

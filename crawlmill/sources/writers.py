@@ -1,41 +1,37 @@
-"""Outputs: appends, snapshots, bucketed tables, and the length limits."""
+"""Outputs: appends, snapshots and bucketed tables, with optional length limits."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlmill import constants as C
+from crawlmill import limits as S
+from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.schemas import TABLES
 
-_LIMITS = {
-    "site": {"domain": C.MAX_DOMAIN_LENGTH},
-    "page": {"url": C.MAX_URL_LENGTH, "page_type_code": C.MAX_CODE_LENGTH},
-    "page_data": {"data_type_code": C.MAX_CODE_LENGTH},
-    "image": {"filename": C.MAX_FILENAME_LENGTH, "content_type": C.MAX_CONTENT_TYPE_LENGTH},
+# The columns of each table that can be limited, and the limit that holds for them.
+_LIMITED = {
+    "site": {"domain": "domain"},
+    "page": {"url": "url", "page_type_code": "code"},
+    "page_data": {"data_type_code": "code"},
+    "image": {"filename": "filename", "content_type": "content_type"},
     "link": {},
     "frontier": {},
 }
 
 
-def _fits(name: str) -> Column:
-    tests = [
-        F.coalesce(F.length(column) <= limit, F.lit(True))
-        for column, limit in _LIMITS[name].items()
-    ]
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+def _texts(name: str, limits: Limits) -> dict[str, tuple[Column, int | None]]:
+    return {c: (F.col(c), getattr(limits, limit)) for c, limit in _LIMITED[name].items()}
 
 
-def accepted(df: DataFrame, name: str) -> DataFrame:
+def accepted(df: DataFrame, name: str, limits: Limits = NO_LIMITS) -> DataFrame:
     """Rows whose texts fit the columns of the table."""
-    return df.where(_fits(name))
+    return S.fitting(df, _texts(name, limits))
 
 
-def rejected(df: DataFrame, name: str) -> DataFrame:
-    """Rows that do not fit and are not stored."""
-    return df.where(~_fits(name))
+def rejected(df: DataFrame, name: str, limits: Limits = NO_LIMITS) -> DataFrame:
+    """Rows that do not fit and are not stored, with ``reason``."""
+    return S.rejected(df, _texts(name, limits))
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -47,14 +43,14 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     ])
 
 
-def append_table(df: DataFrame, name: str, path: str) -> None:
+def append_table(df: DataFrame, name: str, path: str, limits: Limits = NO_LIMITS) -> None:
     """Add the acceptable rows of ``df`` to the table at ``path``."""
-    conform(accepted(df, name), name).write.mode("append").parquet(path)
+    conform(accepted(df, name, limits), name).write.mode("append").parquet(path)
 
 
-def write_snapshot(df: DataFrame, name: str, path: str) -> None:
+def write_snapshot(df: DataFrame, name: str, path: str, limits: Limits = NO_LIMITS) -> None:
     """Write a whole new version of a table; the path must not exist yet."""
-    conform(accepted(df, name), name).write.mode("errorifexists").parquet(path)
+    conform(accepted(df, name, limits), name).write.mode("errorifexists").parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from crawlmill.constants import DEFAULT_CRAWL_DELAY
 from crawlmill.functions.times import plus_seconds
 from crawlmill.operators import links as L
 from crawlmill.operators.content import content_verdicts
-from crawlmill.operators.discovery import storable
 from crawlmill.operators.frontier import fetch_schedule
 from crawlmill.session import materialize
 
@@ -42,7 +42,7 @@ def new_url_stream(
     The state grows with the number of URLs; with ``event_time`` it covers ``delay`` only.
     """
     keep = ("page_id",) if event_time is None else ("page_id", event_time)
-    links = storable(L.page_links(L.extract_links(pages, search_domains, keep, (L.HREF, L.ONCLICK))))
+    links = L.page_links(L.extract_links(pages, search_domains, keep, (L.HREF, L.ONCLICK)))
     part = F.pmod(F.xxhash64("page_id"), F.lit(spread)).cast("int")
     if event_time is None:
         urls = links.select("url", part.alias("_part"))
@@ -101,23 +101,34 @@ def content_stream(contents: DataFrame, root: str) -> StreamingQuery:
 
 
 def schedule_stream(
-    urls: DataFrame, sites: DataFrame, as_of: datetime, root: str
+    urls: DataFrame, sites: Callable[[SparkSession], DataFrame], as_of: datetime, root: str
 ) -> StreamingQuery:
     """Fetch times for arriving ``urls(page_id, site_id, time_added)``.
 
-    Each micro-batch is scheduled behind the earlier ones: it starts from the site
-    snapshot of the batch before and writes the next one, ``root/sites/<batch>``.
+    Each micro-batch is scheduled behind the earlier ones: it starts from the access times
+    that the batch before left and writes the next ones, ``root/sites/<batch>``. ``sites``
+    gives the current site table and is asked for each batch, so sites that come later
+    count; URLs of a site that has no row yet get the default delay.
     """
     columns = ["id", "next_acces", "delay"]
-    schema = sites.select(*columns).schema
+    schema = "id long, next_acces timestamp_ntz, delay int"
 
     def each(batch: DataFrame, number: int) -> None:
         session: SparkSession = batch.sparkSession
-        before = (
-            sites.select(*columns) if number == 0
-            else session.read.schema(schema).parquet(f"{root}/sites/{number - 1}")
-        )
+        current = sites(session).select("id", "next_acces", F.col("delay").cast("int").alias("delay"))
         arrived = materialize(batch, f"schedule-{number}")
+        if number:
+            left = session.read.schema(schema).parquet(f"{root}/sites/{number - 1}")
+            later = left.join(current.select("id", F.col("delay").alias("_delay")), "id", "left")
+            later = later.withColumn("delay", F.coalesce("_delay", "delay")).select(*columns)
+            current = later.unionByName(current.join(left, "id", "left_anti"))
+        # Sites of this batch that have no row yet.
+        unknown = arrived.select(F.col("site_id").alias("id")).distinct().join(current, "id", "left_anti")
+        before = current.unionByName(unknown.select(
+            "id", F.lit(None).cast("timestamp_ntz").alias("next_acces"),
+            F.lit(DEFAULT_CRAWL_DELAY).alias("delay"),
+        ).where(F.col("id").isNotNull()))
+        before = materialize(before, f"sites-{number}")
         plan = fetch_schedule(arrived, before, as_of)
         target = f"{root}/schedule/batch={number}"
         plan.write.mode("overwrite").parquet(target)

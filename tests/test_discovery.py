@@ -27,7 +27,7 @@ def step(spark):
 
 
 def test_first_occurrence_wins(spark):
-    assert rows(D.first_discovery(D.storable(links(spark)), ORDER), "url", "page_id", "source", "pos") == [
+    assert rows(D.first_discovery(links(spark), ORDER), "url", "page_id", "source", "pos") == [
         ("http://a/1", 1, 1, 1), ("http://a/s", 3, 0, 0), ("http://a/x", 1, 1, 0),
         ("http://b/y", 1, 2, 0), ("http://c/z", 2, 1, 1)]
 

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("events", "documents", "pages")
+TABLES = ("events", "documents", "pages", "embeddings", "labels", "benchmark", "conversations")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are missing")
 
