@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import public_tokenizers
@@ -27,11 +28,13 @@ def docs(spark):
 def test_ids_and_texts_equal_the_library(spark, docs, chunk_words):
     tokenizer = Tokenizer.from_file(PATH)
     encoded = encode(docs, PATH, chunk_words=chunk_words)
-    back = decode(encoded.withColumn("n", F.size("ids")), PATH, carry=["ids", "n"]).collect()
+    counted = encoded.withColumn("n", F.size("ids"))
+    back = decode(counted, PATH, carry=["ids", "n"], digests=True).collect()
     assert len(back) == len(TEXTS) + 2
     for row in back:
         text = "null id" if row.doc_id is None else TEXTS[row.doc_id] or ""
         assert row.ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, row.ids)).encode()).hexdigest()
         assert row.n == len(row.ids) and row.text == tokenizer.decode(row.ids, skip_special_tokens=False) == text
     assert sum(r.doc_id == 3 for r in back) == 2
 

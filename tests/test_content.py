@@ -75,3 +75,10 @@ def test_copies_are_reduced_before_the_shuffle(spark):
     plan = plan_of(content.first_holders(df, ()))
     assert plan.count("HashAggregate") == 2
     assert content.content_verdicts(df).where("page_type_code = 'HTML'").count() == 1
+
+
+def test_a_page_visited_again_is_no_duplicate_of_itself(spark):
+    pages = spark.createDataFrame([(7, "h"), (9, "h"), (8, "k"), (5, "m"), (6, None)], "id long, content_hash string")
+    known = spark.createDataFrame([(7, "h"), (8, "k"), (3, "k"), (4, "m")], "id long, content_hash string")
+    verdicts = dict(rows(content.content_verdicts(pages, (), known), "id", "page_type_code"))
+    assert verdicts == {7: "HTML", 9: "DUPLICATE", 8: "DUPLICATE", 5: "DUPLICATE", 6: None}

@@ -3,6 +3,7 @@ from datetime import datetime
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from crawlmill.limits import COLUMN_LIMITS
 from crawlmill.operators import discovery as D
 
 AS_OF = datetime(2024, 1, 1)
@@ -23,11 +24,11 @@ def links(spark):
 def step(spark):
     pages = spark.createDataFrame([("http://a/1",), ("http://a/2",)], "url string")
     sites = spark.createDataFrame([("a",)], "domain string")
-    return D.discover(links(spark), pages, sites, ORDER, AS_OF)
+    return D.discover(links(spark), pages, sites, ORDER, AS_OF, COLUMN_LIMITS)
 
 
 def test_first_occurrence_wins(spark):
-    assert rows(D.first_discovery(links(spark), ORDER), "url", "page_id", "source", "pos") == [
+    assert rows(D.first_discovery(D.storable(links(spark), COLUMN_LIMITS), ORDER), "url", "page_id", "source", "pos") == [
         ("http://a/1", 1, 1, 1), ("http://a/s", 3, 0, 0), ("http://a/x", 1, 1, 0),
         ("http://b/y", 1, 2, 0), ("http://c/z", 2, 1, 1)]
 
@@ -41,7 +42,15 @@ def test_compound_step(spark):
     assert rows(found.new_links()) == [
         ("http://a/1", "http://a/x"), ("http://a/1", "http://b/y"), ("http://a/2", "http://c/z")]
     assert rows(found.new_frontier(), "time_added", "occupied") == [(AS_OF, False)] * 4
-    assert D.rejected(links(spark)).count() == 1
+    (row,) = found.rejected.collect()
+    assert row.reason == "url longer than 3000" and row.page_id == 2
+
+
+def test_nothing_is_limited_unless_asked_for(spark):
+    assert D.rejected(links(spark)).count() == 0
+    long = links(spark).where(F.length("url") > 3000).select(F.concat(F.lit("http://"), F.repeat(F.lit("d"), 501), F.lit("/")).alias("url"))
+    assert [r.reason for r in D.rejected(long, COLUMN_LIMITS).collect()] == ["domain longer than 500"]
+    assert D.storable(links(spark)).count() == 9
 
 
 def test_one_shuffle_for_first_occurrence_and_known_urls(spark, tmp_path):
@@ -91,7 +100,7 @@ def test_bucketed_known_urls_are_not_shuffled(spark, tmp_path):
             spark.read.parquet(str(tmp_path / "l")), spark.table("known_by_url"),
             spark.createDataFrame([], "domain string"), ORDER, AS_OF).found
         plan = plan_of(found)
-        assert found.count() == 5
+        assert found.count() == 6
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

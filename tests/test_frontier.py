@@ -85,7 +85,7 @@ def test_schedule_equals_asking_one_by_one(spark):
 
 def test_hot_group_is_split(spark):
     df = spark.range(0, 50_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("g"))
-    ranked = rank_in_group(df, "g", ["id"], "r", 1000).where("g = 1").select("id", "r").collect()
+    ranked = rank_in_group(df, "g", ["id"], "r").where("g = 1").select("id", "r").collect()
     members = sorted(set(range(0, 50_000, 3)) | {1})
     assert sorted((r["r"], r["id"]) for r in ranked) == list(enumerate(members, 1))
 
@@ -101,6 +101,16 @@ def test_long_waits(spark):
     u = spark.range(200_000).select(
         F.col("id").alias("page_id"), F.lit(1).cast("long").alias("site_id"),
         F.lit(None).cast("timestamp_ntz").alias("time_added"))
-    s = spark.createDataFrame([(1, None, 32767)], "id long, next_acces timestamp_ntz, delay short")
+    s = spark.createDataFrame([(1, None, 86400)], "id long, next_acces timestamp_ntz, delay int")
     last = FR.fetch_schedule(u, s, AS_OF).agg(F.max("fetch_time")).first()[0]
-    assert last == AS_OF + timedelta(seconds=199_999 * 32767)
+    assert last == AS_OF + timedelta(seconds=199_999 * 86400)
+    # A delay without end stops no job.
+    s = spark.createDataFrame([(1, None, 2**31 - 1)], "id long, next_acces timestamp_ntz, delay int")
+    assert FR.fetch_schedule(u, s, AS_OF).select(F.max("fetch_time").cast("string")).first()[0]
+
+
+def test_urls_of_unknown_sites_are_scheduled(spark):
+    u = spark.createDataFrame([(1, 7, T0), (2, 7, T0), (3, 10, T0), (4, None, T0)], "page_id long, site_id long, time_added timestamp_ntz")
+    s = spark.createDataFrame([(10, AS_OF + timedelta(1), 9)], "id long, next_acces timestamp_ntz, delay int")
+    due = {r.page_id: r.fetch_time for r in FR.fetch_schedule(u, s, AS_OF).collect()}
+    assert due == {1: AS_OF, 2: AS_OF + timedelta(seconds=4), 3: AS_OF + timedelta(1), 4: AS_OF}

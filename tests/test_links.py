@@ -188,3 +188,29 @@ def test_markup_is_cleaned_once_and_not_shuffled(spark, tmp_path):
     assert plan.count("regexp_replace(html") == 1
     assert "Exchange" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_references_are_read_once_as_the_standard_decoder_does(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(1)
+    names = list(html5)
+    numbers = [0, 9, 12, 13, 38, 65, 128, 129, 150, 233, 55296, 64976, 65534, 1114111, 1114112, 10**20]
+    pieces = ["&", "&&", "lt;", "#", "a", " ", "<", "é", "&#38;lt;", "&#x;", "&#;", "&nosuch;", "\n", "&" + "a" * 40, "&#x00000000000000041;", "&#XFFFFFFFFFFFFFFF", "&amplt;"]
+
+    def piece():
+        kind = rng.random()
+        if kind < 0.3:
+            return "&" + rng.choice(names)
+        if kind < 0.4:
+            return "&" + rng.choice(names).rstrip(";") + rng.choice(["", "x", "=1", ";"])
+        if kind < 0.6:
+            return f"&#{rng.choice(numbers)}{rng.choice(['', ';'])}"
+        return f"&#x{rng.choice(numbers):x};" if kind < 0.8 else rng.choice(pieces)
+
+    texts = ["".join(piece() for _ in range(rng.randint(0, 8))) for _ in range(1500)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", H.decode_entities(F.col("t")).alias("d")).collect():
+        assert row.d == (None if row.t is None else html.unescape(row.t)), row.t

@@ -45,8 +45,8 @@ def test_delays(spark):
     assert delay_of(spark, "User-agent: *\nCrawl-delay: 0") == (0, 4)
     assert delay_of(spark, "User-agent: *\nCrawl-delay: 0.5") == (None, 4)
     assert delay_of(spark, "User-agent: *\nCrawl-delay: 7") == (7, 7)
-    assert delay_of(spark, "User-agent: *\nCrawl-delay: 100000") == (32767, 32767)
-    assert delay_of(spark, "User-agent: *\nCrawl-delay: " + "9" * 30) == (32767, 32767)
+    assert delay_of(spark, "User-agent: *\nCrawl-delay: 86400") == (86400, 86400)
+    assert delay_of(spark, "User-agent: *\nCrawl-delay: " + "9" * 30) == (2**31 - 1, 2**31 - 1)
     assert delay_of(spark, "User-agent: *\nCrawl-delay: 7\nCrawl-delay: 9\nCrawl-delay: x") == (9, 9)
 
 

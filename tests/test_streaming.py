@@ -75,14 +75,20 @@ def test_schedule_continues_over_batches(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "work")
     schema = "page_id long, site_id long, time_added timestamp_ntz"
     sites = spark.createDataFrame(
-        [(1, None, 4), (2, AS_OF + timedelta(seconds=10), 5)], "id long, next_acces timestamp_ntz, delay short")
+        [(1, None, 4), (2, AS_OF + timedelta(seconds=10), 5)], "id long, next_acces timestamp_ntz, delay int")
+    table = {"sites": sites}
 
     def run(*urls):
         spark.createDataFrame(list(urls), schema).coalesce(1).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(schema).parquet(folder)
-        jobs.schedule_stream(stream, sites, AS_OF, root).awaitTermination()
+        jobs.schedule_stream(stream, lambda session: table["sites"], AS_OF, root).awaitTermination()
         planned = rows(jobs.read_batches(spark, f"{root}/schedule"), "page_id", "fetch_time")
         return {p: (t - AS_OF).seconds for p, t in planned}
 
     assert run((1, 1, AS_OF), (2, 1, AS_OF), (3, 2, AS_OF)) == {1: 0, 2: 4, 3: 10}
-    assert run((4, 1, AS_OF), (5, 2, AS_OF)) == {1: 0, 2: 4, 3: 10, 4: 8, 5: 15}
+    # A site that comes later, and one that never does.
+    later = spark.createDataFrame([(3, AS_OF + timedelta(seconds=7), 2)], sites.schema)
+    table["sites"] = sites.unionByName(later)
+    second = {1: 0, 2: 4, 3: 10, 4: 8, 5: 15, 6: 7, 7: 9, 8: 0}
+    assert run((4, 1, AS_OF), (5, 2, AS_OF), (6, 3, AS_OF), (7, 3, AS_OF), (8, 9, AS_OF)) == second
+    assert run((9, 3, AS_OF), (10, 9, AS_OF), (11, 1, AS_OF)) == second | {9: 11, 10: 4, 11: 12}

@@ -5,6 +5,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from crawlmill import constants as C
+from crawlmill.limits import COLUMN_LIMITS
 from crawlmill.operators import assets, reports, tables as T, transitions
 from crawlmill.sources import readers, writers
 
@@ -87,25 +88,32 @@ def test_assets(spark):
     assert rows(assets.document_rows(links), "url", "data_type_code", "data") == [
         ("http://d.com/a.pdf", "PDF", None), ("http://d.com/a.pdf", "PDF", None),
         ("http://d.com/c.DOCX", "DOCX", None)]
-    assert rows(assets.image_rows(links, AS_OF), "filename", "content_type", "accessed_time") == [
+    found = assets.image_rows(links, AS_OF)
+    (long_name,) = writers.rejected(found, "image", COLUMN_LIMITS).collect()
+    assert len(long_name.filename) > 255 and long_name.reason == "filename longer than 255"
+    assert rows(writers.accepted(found, "image", COLUMN_LIMITS), "filename", "content_type", "accessed_time") == [
         ("http://dcom/k", "jpg", AS_OF), ("http://wdcom/iv1", "png", AS_OF)]
     files = spark.createDataFrame(
         [("http://d.com/a.pdf", bytearray(2_500_000)), ("http://d.com/k.jpg", bytearray(3_500_000))],
         "url string, content binary")
-    assert rows(assets.document_rows(links, files).select("url", F.length("data"))) == [
-        ("http://d.com/a.pdf", 2_000_000)] * 2
-    assert rows(assets.image_rows(links, AS_OF, files).select("url", F.length("data"))) == [
-        ("http://d.com/k.jpg", 3_000_000)]
+    assert rows(assets.document_rows(links, files).select("url", F.length("data"), "is_cut")) == [
+        ("http://d.com/a.pdf", 2_500_000, False)] * 2
+    cut = assets.document_rows(links, files, COLUMN_LIMITS)
+    assert rows(cut.select("url", F.length("data"), "is_cut")) == [("http://d.com/a.pdf", 2_000_000, True)] * 2
+    cut = assets.image_rows(links, AS_OF, files, COLUMN_LIMITS)
+    assert rows(cut.select("url", F.length("data"), "is_cut")) == [("http://d.com/k.jpg", 3_000_000, True)]
 
 
 def test_sinks_reject_what_does_not_fit(spark, tmp_path):
     pages = spark.createDataFrame(
         [("http://d/" + "x" * 2991,), ("http://d/" + "x" * 2992,), (None,)], "url string")
-    assert writers.rejected(pages.withColumn("page_type_code", F.lit("HTML")), "page").count() == 1
-    path = str(tmp_path / "page")
     ready = pages.withColumn("page_type_code", F.lit("HTML"))
-    writers.append_table(ready, "page", path)
-    writers.append_table(ready, "page", path)
+    assert writers.rejected(ready, "page").count() == 0 and writers.accepted(ready, "page").count() == 3
+    (row,) = writers.rejected(ready, "page", COLUMN_LIMITS).collect()
+    assert row.reason == "url longer than 3000"
+    path = str(tmp_path / "page")
+    writers.append_table(ready, "page", path, COLUMN_LIMITS)
+    writers.append_table(ready, "page", path, COLUMN_LIMITS)
     stored = readers.read_table(spark, "page", path)
     assert stored.count() == 4
     assert stored.schema == readers.TABLES["page"]
