@@ -14,6 +14,7 @@ from crawlmill.llm.exact_dedup import exact_groups
 from crawlmill.llm.licenses import oracle_sql as license_oracle_sql, scan_licenses
 from crawlmill.llm.neighbours import nearest_neighbours
 from crawlmill.llm.packing import pack, text_cluster, word_count
+from crawlmill.llm.passages import passage_classes
 from crawlmill.llm.quality import score_quality
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
@@ -106,13 +107,8 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BPE_FILE)
-    encoded = encode(table(spark, sf_dir, "documents"), path).select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-    )
-    decoded = decode(encoded, path, carry=["n_tokens", "ids_sha256"])
+    encoded = encode(table(spark, sf_dir, "documents"), path).withColumn("n_tokens", F.size("ids").cast("long"))
+    decoded = decode(encoded, path, carry=["n_tokens"], digests=True)
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
@@ -121,3 +117,8 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: source and language are the directories."""
     docs = table(spark, sf_dir, "documents")
     return scan_licenses(docs.withColumn("path", F.concat_ws("/", "source", "lang", "doc_id")))
+
+
+@_query("op7_passages")
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"))

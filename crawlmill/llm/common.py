@@ -14,6 +14,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Hand rows to Python in batches of at most ``size`` bytes, unless the session asks for fewer.
+
+    A batch is held by the JVM, by the pipe and by Python at once.
+    """
+    now = spark.conf.get(BATCH_BYTES, "64m").lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(now[-1])
+    if unit is None and int(now) > size or unit is not None and int(now[:-1]) << unit > size:
+        spark.conf.set(BATCH_BYTES, str(size))
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
