@@ -40,9 +40,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near fingerprints, with the smallest id."""
     found = simhash_components(docs)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays"))
-    stays = materialize(stays.distinct(), "stays")
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["stays"]), "left_semi")
+    # The ids that go are the smaller side: documents are joined with these alone.
+    first = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    goes = found.groupBy(F.col("doc_id").alias("goes")).agg(first.alias("first")).filter("not first")
+    goes = materialize(goes.select("goes"), "goes")
+    return docs.join(goes, docs["doc_id"].eqNullSafe(goes["goes"]), "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
