@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -61,8 +61,18 @@ def _stretches(found: list[Span]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def _covered(start: int, end: int, starts: list[int], ends: list[int]) -> bool:
+    """Whether stretches, also several that touch, cover all from ``start`` to ``end``."""
+    while start < end:
+        before = bisect_right(starts, start)
+        if not before or ends[before - 1] <= start:
+            return False
+        start = ends[before - 1]
+    return True
+
+
 def all_spans(text: str, ranks, longest: int, least_cost: float = LEAST_COST) -> list[Span]:
-    """The base spans, and of credential-context values outside them those that cost enough."""
+    """The base spans, and of credential-context values they do not cover wholly those that cost enough."""
     base = base_spans(text)
     lowered = text.lower()
     added: list[Span] = []
@@ -71,8 +81,7 @@ def all_spans(text: str, ranks, longest: int, least_cost: float = LEAST_COST) ->
         for match in CONTEXT.finditer(text):
             value = match[1].rstrip(".,;:!?)]}")
             start, end = match.start(1), match.start(1) + len(value)
-            before = bisect_left(starts, end)
-            if before and ends[before - 1] > start:
+            if _covered(start, end, starts, ends):
                 continue
             cost = guess_cost(value, ranks, longest)
             if cost >= least_cost:
