@@ -7,6 +7,7 @@ above it that has a license file. Joins, aggregations and column expressions onl
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,7 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
-#: Every template has one of these, and only passages with one are compared.
+#: Every template has one of these; only the check SQL compares no others.
 ANCHOR = "licen[cs]|copyright|public domain|redistribut|permission"
 WORD = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
 LICENSE_FILE = r"^(licen[cs]e|copying|unlicense)([.-][a-z0-9.-]*)?$"
@@ -75,12 +76,61 @@ def template_weights(docs: DataFrame) -> tuple[DataFrame, int]:
     return materialize(weights.select("template", "license", "term", "idf", "weight"), "template_weights"), total
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """(id, path, key, whole, passage): whole texts, paragraphs and lines that hold an anchor."""
-    anchored = F.lower(F.col("text")).rlike(ANCHOR)
-    parts = F.array_distinct(F.concat(F.array("text"), F.split("text", r"\n[\t\r ]*\n"), F.split("text", "\n")))
-    found = docs.filter(anchored).select("id", "path", "text", F.explode(parts).alias("passage"))
-    found = found.filter(F.lower(F.col("passage")).rlike(ANCHOR))
+def _can_reach(text: Column, weights: list) -> Column:
+    """Whether a passage with the words of ``text`` can have a score of LEAST; an exact bound.
+
+    A cosine is at most the root of the squared weights of the template's words that the passage has.
+    A template's lightest words alone stay below, so a passage without any of the others is out first.
+    """
+    bound = (LEAST - 1e-5) ** 2  # scores are rounded
+    templates: dict[int, list] = {}
+    for row in weights:
+        templates.setdefault(row.template, []).append((row.weight**2, row.term))
+    heavy, of = set(), {}
+    for n, terms in templates.items():
+        light = 0.0
+        for square, term in sorted(terms):
+            light += square
+            if light >= bound:
+                heavy.add(term)
+            of.setdefault(term, []).append({"template": n, "square": square})
+    # Constants that the optimizer folds; as expressions of their own they take long to plan.
+    constants = lambda terms: F.split(F.lit(" ".join(sorted(terms))), " ")
+    words = F.array_intersect(_words(text), constants(of))  # each once
+    squares = F.from_json(F.lit(json.dumps(of)), "map<string, array<struct<template: int, square: double>>>")
+    # Sorted by template, a run of equal ones is summed up.
+    start = F.struct(F.lit(-1).alias("template"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("most"))
+
+    def add(state: Column, entry: Column) -> Column:
+        total = F.when(state["template"] == entry["template"], state["sum"]).otherwise(0.0) + entry["square"]
+        return F.struct(entry["template"].alias("template"), total.alias("sum"), F.greatest(state["most"], total).alias("most"))
+
+    def reaches(shared: Column) -> Column:
+        entries = F.array_sort(F.flatten(F.transform(shared, lambda w: squares[w])))
+        most = F.aggregate(entries, start, add, lambda state: state["most"])
+        return F.when(F.arrays_overlap(shared, constants(heavy)), most >= bound).otherwise(False)
+
+    return F.exists(F.array(words), reaches)  # the words are found once
+
+
+def passages(docs: DataFrame, weights: DataFrame) -> DataFrame:
+    """(id, path, key, whole, passage): whole texts, paragraphs and lines that can score LEAST.
+
+    A paragraph has no word that its text lacks, and a line none that its paragraph lacks, so the
+    parts of what cannot score are left alone. The driver reads the weights of the templates' words.
+    """
+    rows = weights.select("template", "term", "weight").collect()
+    passage, part = F.col("passage"), F.col("part")
+    paragraphs = F.array_distinct(F.split("text", r"\n[\t\r ]*\n"))
+    texts = docs.filter(_can_reach(F.col("text"), rows)).withColumn("parts", paragraphs)
+    parts = texts.select("id", "path", "text", F.explode(F.concat(F.array("text"), F.filter("parts", lambda p: p != F.col("text")))).alias("part"))
+    # The lines of a text in one paragraph are taken from the text, else from the paragraphs.
+    single = ~F.col("text").rlike(r"\n[\t\r ]*\n")
+    parts = parts.filter((part == F.col("text")) | _can_reach(part, rows))
+    lines = F.when((part != F.col("text")) | single, F.filter(F.array_distinct(F.split("part", "\n")), lambda l: l != part))
+    cut = F.concat(F.array("part"), F.coalesce(lines, F.array().cast("array<string>")))
+    found = parts.select("id", "path", "text", "part", F.explode(cut).alias("passage"))
+    found = found.filter((passage == part) | _can_reach(passage, rows))
     return found.select(
         "id", "path", F.md5("passage").alias("key"), (F.col("passage") == F.col("text")).alias("whole"), "passage"
     )
@@ -138,7 +188,7 @@ def scan_licenses(
     """
     docs = files.select(F.col(id_col).alias("id"), F.col(path_col).alias("path"), text_or_empty(text_col).alias("text"))
     weights, total = template_weights(docs)
-    found = passages(docs)
+    found = materialize(passages(docs, weights), "license_passages")
     distinct = found.groupBy("key", "passage").agg(F.count("*").alias("n")).select("key", "passage")
     scored = materialize(score_passages(distinct, weights, total), "scored_passages")
     held = found.select("id", "path", "key", "whole").join(scored, "key")

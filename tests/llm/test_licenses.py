@@ -109,3 +109,12 @@ def test_empty_table(spark, files):
 def test_main_path_has_no_python(spark, files):
     plan = scan_licenses(files)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_notices_without_a_license_word(spark):
+    files = [(1, "a/notice", "Released under CC BY 4.0."), (2, "a/x", "nothing"), (3, "b/x", "some words\n\nmore of them\nReleased under CC BY 4.0.\nand more")]
+    files += [(n, f"c/{n}", f"other words {n}") for n in range(4, 30)]
+    docs = spark.createDataFrame(files, "doc_id long, path string, text string")
+    found = {r.doc_id: (r.license, r.origin) for r in scan_licenses(docs).collect()}
+    assert found.pop(1) == ("CC-BY-4.0", "file") and found.pop(2) == ("CC-BY-4.0", "inherited") and found.pop(3) == ("CC-BY-4.0", "header")
+    assert set(found.values()) == {(None, None)}
