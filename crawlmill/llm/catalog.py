@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlmill.llm.bpe import decode, encode
 from crawlmill.llm.common import table
+from crawlmill.llm.conversations import damage, repair_conversations
 from crawlmill.llm.exact_dedup import exact_groups
 from crawlmill.llm.licenses import oracle_sql as license_oracle_sql, scan_licenses
 from crawlmill.llm.neighbours import nearest_neighbours
@@ -122,3 +123,9 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_passages")
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_classes(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair_conversations(damage(rows), rows)
