@@ -20,6 +20,7 @@ from crawlmill.llm.quality import score_quality
 from crawlmill.llm.secrets import KINDS, secret_spans, spans_text
 from crawlmill.llm.simhash import simhash_components
 from crawlmill.llm.url_filter import Rule, judge_urls, oracle_sql as url_oracle_sql
+from crawlmill.llm.whitening import whiten
 
 BPE_FILE = "byte_bpe_50k.json"
 WORDS_FILE = "word_bpe_49k.json"
@@ -129,3 +130,8 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return repair_conversations(damage(rows), rows)
+
+
+@_query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
