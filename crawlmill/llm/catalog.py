@@ -14,6 +14,7 @@ from crawlmill.llm.conversations import damage, repair_conversations
 from crawlmill.llm.exact_dedup import exact_groups
 from crawlmill.llm.licenses import oracle_sql as license_oracle_sql, scan_licenses
 from crawlmill.llm.neighbours import nearest_neighbours
+from crawlmill.llm.order_minhash import compare_with_next
 from crawlmill.llm.packing import pack, text_cluster, word_count
 from crawlmill.llm.passages import passage_classes
 from crawlmill.llm.quality import score_quality
@@ -135,3 +136,8 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_order_minhash")
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
