@@ -218,6 +218,16 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def canonical_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses under the canonical URLs of their pages; the markup passes no join."""
+    own = responses(spark, sf_dir).withColumnRenamed("url", "raw").withColumns({
+        "scheme": url_scheme(F.col("raw")), "domain": url_netloc(F.col("raw")),
+    })
+    return with_canonical_url(own, "raw", "scheme", "domain").select(
+        "page_id", "url", "html", "status", "old_type", "old_status"
+    )
+
+
 def link_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files behind some of the links: the page's own text as PDF and as image."""
     page_id = F.col("page_id").cast("string")

@@ -220,6 +220,12 @@ STEPS: dict[str, str] = {
     "fresh": f"""
         SELECT *, {_domain('url')} AS domain FROM firsts
         WHERE url NOT IN (SELECT url FROM canon)""",
+    "added_pages": """
+        SELECT *, (SELECT max(page_id) FROM pages) + row_number() OVER (ORDER BY page_id, source, pos) AS id
+        FROM fresh""",
+    "added_sites": """
+        SELECT domain, (SELECT max(id) FROM site) + row_number() OVER (ORDER BY domain) AS id
+        FROM (SELECT DISTINCT domain FROM fresh WHERE domain NOT IN (SELECT domain FROM site))""",
     "page_ids": "SELECT url, min(page_id) AS id FROM canon GROUP BY url",
     # --- robots ---------------------------------------------------------------------
     "robots_lines": """
@@ -470,10 +476,16 @@ def sql() -> dict[str, str]:
             SELECT 'image', page_id, url, 'filename longer than {COLUMN_LIMITS.filename}'
             FROM image_rows WHERE length(filename) > {COLUMN_LIMITS.filename}""",
         "write_tables": """
-            SELECT (SELECT max(page_id) FROM pages)
-                       + row_number() OVER (ORDER BY page_id, source, pos) AS id,
-                   url, 'FRONTIER' AS page_type_code
-            FROM fresh""",
+            SELECT 'site' AS table_name, CAST(id AS VARCHAR) AS k1, domain AS k2, '' AS k3 FROM added_sites
+            UNION ALL SELECT 'page', CAST(f.id AS VARCHAR), url, CAST(s.id AS VARCHAR) FROM added_pages f
+                JOIN (SELECT id, domain FROM site UNION ALL SELECT id, domain FROM added_sites) s USING (domain)
+            UNION ALL SELECT 'frontier', CAST(id AS VARCHAR), 'false', '' FROM added_pages
+            UNION ALL SELECT 'link', CAST(page_id AS VARCHAR), CAST(id AS VARCHAR), '' FROM added_pages
+            UNION ALL SELECT 'page_data', CAST(d.page_id AS VARCHAR), data_type_code, sha256(html)
+                FROM document_rows d JOIN files f ON f.url = d.url
+            UNION ALL SELECT 'image', CAST(i.page_id AS VARCHAR), filename, content_type || ' ' || sha256(html)
+                FROM image_rows i JOIN files f ON f.url = i.url
+            UNION ALL SELECT DISTINCT 'payload', sha256(html), CAST(octet_length(encode(html)) AS VARCHAR), '' FROM files""",
         "apply_updates": "SELECT * FROM next_pages",
         "frontier_remove": """
             SELECT page_id, time_added, occupied FROM queue
@@ -647,12 +659,12 @@ def sql() -> dict[str, str]:
     result["process_batch"] = _with(f"""
         SELECT 'updated_page' AS table_name, CAST(page_id AS VARCHAR) AS k1, page_type_code AS k2,
                coalesce(CAST(http_status_code AS VARCHAR), '') AS k3 FROM judged
-        UNION ALL SELECT 'content', CAST(page_id AS VARCHAR), md5(html), '' FROM judged
+        UNION ALL SELECT 'content', CAST(page_id AS VARCHAR), md5({BODY}), '' FROM judged
             WHERE store_content
         UNION ALL SELECT 'hash', CAST(page_id AS VARCHAR),
                          CASE WHEN store_content THEN content_hash ELSE '' END, '' FROM judged
         UNION ALL SELECT 'removed', CAST(page_id AS VARCHAR), '', '' FROM judged WHERE NOT requeue
-        UNION ALL SELECT 'page_data', CAST(d.page_id AS VARCHAR), data_type_code, md5(f.html)
+        UNION ALL SELECT 'page_data', CAST(d.page_id AS VARCHAR), data_type_code, sha256(f.html)
             FROM document_rows d JOIN files f ON f.url = d.url
         UNION ALL SELECT 'image', CAST(i.page_id AS VARCHAR), filename, content_type
             FROM image_rows i JOIN files f ON f.url = i.url

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlmill.catalog import fixtures as X
 from crawlmill.functions import html as H
+from crawlmill.functions.times import ntz
 from crawlmill.functions.urls import (
     in_scope, site_of, url_netloc, url_path, url_scheme, with_canonical_url,
 )
@@ -20,6 +21,7 @@ from crawlmill.operators import (
     transitions,
 )
 from crawlmill.operators.links import extract_links, page_links
+from crawlmill.operators.store import Payloads, stage_files
 from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.crawl_db import CrawlDb
 from crawlmill.plans.page_step import process_batch as run_batch
@@ -85,23 +87,26 @@ def site_scan(spark, sf_dir):
     )
 
 
+def _with_md5(rows: DataFrame, files: Payloads) -> DataFrame:
+    """The MD5 of the payload that each row refers to; payloads are hashed where they are stored."""
+    return rows.join(files.contents().select("digest", F.md5("data").alias("data_md5")), "digest")
+
+
 @query
 def binary_assets(spark, sf_dir):
     links = _links(spark, sf_dir, (L.HREF, L.ONCLICK))
-    rows = assets.document_rows(links, X.link_files(spark, sf_dir))
-    return rows.select(
-        "page_id", "url", "data_type_code",
-        F.length("data").cast("long").alias("n_bytes"), F.md5("data").alias("data_md5"),
+    files = stage_files(X.link_files(spark, sf_dir))
+    return _with_md5(assets.document_rows(links, files), files).select(
+        "page_id", "url", "data_type_code", "n_bytes", "data_md5"
     )
 
 
 @query
 def image_assets(spark, sf_dir):
     links = _links(spark, sf_dir, (L.IMAGE,))
-    rows = assets.image_rows(links, X.AS_OF, X.link_files(spark, sf_dir))
-    return rows.select(
-        "page_id", "url", "filename", "content_type", "accessed_time",
-        F.length("data").cast("long").alias("n_bytes"), F.md5("data").alias("data_md5"),
+    files = stage_files(X.link_files(spark, sf_dir))
+    return _with_md5(assets.image_rows(links, X.AS_OF, files), files).select(
+        "page_id", "url", "filename", "content_type", "accessed_time", "n_bytes", "data_md5"
     )
 
 
@@ -122,16 +127,42 @@ def rejected_rows(spark, sf_dir):
 
 @query
 def write_tables(spark, sf_dir):
-    """New pages get dense ids behind the known ones and go through the page table."""
-    known = X.canonical_pages(spark, sf_dir)
-    found = discovery.discover(
-        _page_links(spark, sf_dir), known, X.sites(spark, sf_dir), LINK_ORDER, X.AS_OF
-    ).found
-    last = known.agg(F.max("page_id").alias("last")).first()["last"]
-    rows = T.with_surrogate_ids(found, ["page_id", "source", "pos"], last)
-    path = new_work_path(spark, "page")
-    writers.append_table(rows.withColumn("page_type_code", F.lit("FRONTIER")), "page", path)
-    return readers.read_table(spark, "page", path).select("id", "url", "page_type_code")
+    """What a crawl of all pages adds, written to the tables and read back.
+
+    New sites and pages get dense ids behind the known ones; files are stored once by content.
+    """
+    known, sites = X.canonical_pages(spark, sf_dir), X.sites(spark, sf_dir).select("id", "domain")
+    links = _links(spark, sf_dir)
+    step = discovery.discover(_page_links(spark, sf_dir), known, sites, LINK_ORDER, X.AS_OF)
+    step = discovery.Discovery(materialize(step.found, "found"), sites, step.as_of)
+    site = T.with_surrogate_ids(step.new_sites(), ["domain"], sites.agg(F.max("id")).first()[0])
+    last = known.agg(F.max("page_id")).first()[0]
+    page = T.with_surrogate_ids(step.found.withColumnRenamed("page_id", "from_page"), ["from_page", "source", "pos"], last)
+    by_domain = sites.unionByName(site).withColumnRenamed("id", "site_id")
+    files = stage_files(X.link_files(spark, sf_dir))
+    new = {
+        "site": site,
+        "page": page.join(by_domain, "domain").withColumn("page_type_code", F.lit("FRONTIER")),
+        "frontier": page.select(F.col("id").alias("page_id"), ntz(X.AS_OF).alias("time_added"), F.lit(False).alias("occupied")),
+        "link": page.select("from_page", F.col("id").alias("to_page")),
+        "page_data": T.with_surrogate_ids(assets.document_rows(links, files), ["page_id", "url"]),
+        "image": T.with_surrogate_ids(assets.image_rows(links, X.AS_OF, files), ["page_id", "url"]),
+        "payload": files.contents(),
+    }
+    stored = {}
+    for name, rows in new.items():
+        path = new_work_path(spark, name)
+        writers.append_table(rows, name, path)
+        stored[name] = readers.read_table(spark, name, path)
+    return reduce(DataFrame.unionByName, [
+        _rows("site", stored["site"], "id", "domain"),
+        _rows("page", stored["page"], "id", "url", "site_id"),
+        _rows("frontier", stored["frontier"], "page_id", "occupied"),
+        _rows("link", stored["link"], "from_page", "to_page"),
+        _rows("page_data", stored["page_data"], "page_id", "data_type_code", "digest"),
+        _rows("image", stored["image"], "page_id", "filename", F.concat_ws(" ", "content_type", "digest")),
+        _rows("payload", stored["payload"], "digest", F.length("data")),
+    ])
 
 
 def _page_snapshot(spark, sf_dir) -> DataFrame:
@@ -574,20 +605,16 @@ def page_transition(spark, sf_dir):
 @query
 def process_batch(spark, sf_dir):
     """One step over all pages; one row per changed row of any table."""
-    known = X.canonical_pages(spark, sf_dir)
-    batch = X.responses(spark, sf_dir).withColumnRenamed("url", "raw").join(
-        known.select("page_id", "url"), "page_id"
-    )
     result = run_batch(
-        batch, known, X.sites(spark, sf_dir), None, X.AS_OF, X.SEARCH_DOMAINS,
-        files=X.link_files(spark, sf_dir),
+        X.canonical_responses(spark, sf_dir), X.canonical_pages(spark, sf_dir), X.sites(spark, sf_dir),
+        None, X.AS_OF, X.SEARCH_DOMAINS, files=stage_files(X.link_files(spark, sf_dir)),
     )
     frames = [
         _rows("updated_page", result.pages, "page_id", "page_type_code", "http_status_code"),
-        _rows("content", result.contents(batch), "page_id", F.md5("html_content")),
+        _rows("content", result.contents(), "page_id", F.md5("html_content")),
         _rows("hash", result.pages, "page_id", "content_hash"),
         _rows("removed", result.frontier_removed(), "page_id"),
-        _rows("page_data", result.documents, "page_id", "data_type_code", F.md5("data")),
+        _rows("page_data", result.documents, "page_id", "data_type_code", "digest"),
         _rows("image", result.images, "page_id", "filename", "content_type"),
         *_discovery_rows(result.discovery),
     ]

@@ -9,28 +9,24 @@ from pyspark.sql import functions as F
 
 from crawlmill import constants as C
 from crawlmill.functions.times import ntz
-from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.operators.links import DOCUMENT, PICTURE
+from crawlmill.operators.store import Payloads
 
 
-def _bodies(rows: DataFrame, files: DataFrame | None, cap: int | None) -> DataFrame:
-    """Join file contents by URL as ``data``; ``is_cut`` tells whether ``cap`` took something off.
+def _with_refs(rows: DataFrame, files: Payloads | None) -> DataFrame:
+    """Add the digest and size of the file behind each URL.
 
-    Without ``files`` the data column is NULL. A file that is missing there failed to
-    load, and its row is lost. Contents are cut before the join.
+    Rows refer to a payload by its digest and never carry it. Without ``files`` the reference is NULL. A
+    file that is missing there failed to load, and its row is lost.
     """
     if files is None:
-        return rows.withColumns({"data": F.lit(None).cast("binary"), "is_cut": F.lit(False)})
-    content = F.col("content")
-    data, is_cut = (content, F.lit(False)) if cap is None else (
-        F.substring(content, 1, cap), F.octet_length(content) > cap
-    )
-    return rows.join(files.select("url", data.alias("data"), is_cut.alias("is_cut")), "url")
+        return rows.withColumns({
+            "digest": F.lit(None).cast("string"), "n_bytes": F.lit(None).cast("long"), "is_cut": F.lit(False)
+        })
+    return rows.join(files.refs, "url")
 
 
-def document_rows(
-    links: DataFrame, files: DataFrame | None = None, limits: Limits = NO_LIMITS
-) -> DataFrame:
+def document_rows(links: DataFrame, files: Payloads | None = None) -> DataFrame:
     """``page_data`` rows: the type is the upper-cased text after the last dot.
 
     Types without a code (for instance PDFX) are rejected by the code table.
@@ -38,12 +34,10 @@ def document_rows(
     rows = links.where(F.col("cls") == DOCUMENT).select(
         "page_id", "url", F.upper(F.substring_index("url", ".", -1)).alias("data_type_code")
     ).where(F.col("data_type_code").isin(*C.DATA_TYPES))
-    return _bodies(rows, files, limits.document_bytes)
+    return _with_refs(rows, files)
 
 
-def image_rows(
-    links: DataFrame, as_of: datetime, files: DataFrame | None = None, limits: Limits = NO_LIMITS
-) -> DataFrame:
+def image_rows(links: DataFrame, as_of: datetime, files: Payloads | None = None) -> DataFrame:
     """``image`` rows: the file name is the URL before the last dot, without dots.
 
     Names that are too long for a table are the business of the writer, which returns them.
@@ -56,4 +50,4 @@ def image_rows(
         F.lower(F.substring_index("url", ".", -1)).alias("content_type"),
         ntz(as_of).alias("accessed_time"),
     ).where(F.col("content_type").isin(*C.STORED_IMAGE_TYPES))
-    return _bodies(rows, files, limits.image_bytes)
+    return _with_refs(rows, files)

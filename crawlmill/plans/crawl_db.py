@@ -26,14 +26,14 @@ from crawlmill.operators import frontier as FR, robots as R
 from crawlmill.operators.discovery import seed_frontier
 from crawlmill.operators.ranking import first_n_per_key
 from crawlmill.operators.tables import apply_updates, with_surrogate_ids
-from crawlmill.operators.transitions import page_state
+from crawlmill.operators.store import Payloads
 from crawlmill.plans.page_step import process_batch
-from crawlmill.schemas import FRONTIER, IMAGE, LINK, PAGE, PAGE_DATA, SITE
+from crawlmill.schemas import FRONTIER, IMAGE, LINK, PAGE, PAGE_DATA, PAYLOAD, SITE
 from crawlmill.session import materialize, new_work_path
 from crawlmill.sources.writers import accepted
 
 # The markup lives in its own table, so that a new page version does not carry it along. It
-# holds every good response; the page table tells which of them count.
+# holds the bodies that were stored; the page table tells which of them count.
 CONTENT = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("html_content", T.StringType()),
@@ -47,7 +47,7 @@ VERSIONS = T.StructType([
 ])
 
 VERSIONED = {"site": SITE, "page": NARROW_PAGE, "frontier": FRONTIER}
-GROWING = {"link": LINK, "page_data": PAGE_DATA, "image": IMAGE, "content": CONTENT}
+GROWING = {"link": LINK, "page_data": PAGE_DATA, "image": IMAGE, "content": CONTENT, "payload": PAYLOAD}
 
 
 @dataclass(frozen=True)
@@ -201,13 +201,13 @@ class CrawlDb:
         responses: DataFrame,
         as_of: datetime,
         search_domains: Sequence[str] = (),
-        files: DataFrame | None = None,
+        files: Payloads | None = None,
         final_dequeue: bool = True,
     ) -> CrawlDb:
         """Take responses: the fetch list with ``status`` and ``html``.
 
         They carry all the step needs of their page, so the markup passes no shuffle: it is
-        read once for its features and once to be stored.
+        read once, for its features and for the body that may be stored.
         """
         page = self.table("page")
         batch = responses.select("page_id", "url", "old_type", "old_status", "status", "html")
@@ -235,13 +235,12 @@ class CrawlDb:
         return self._next(
             site=site, page=grown, frontier=frontier,
             link=links.select("from_page", "to_page"),
-            content=batch.where(page_state(F.col("status")) == "ok").select(
-                "page_id", F.col("html").alias("html_content")
-            ),
+            content=result.contents(),
             page_data=with_surrogate_ids(
                 result.documents, ["page_id", "url"], self.last_id("page_data")
             ),
             image=with_surrogate_ids(result.images, ["page_id", "url"], self.last_id("image")),
+            **({} if files is None else {"payload": files.contents(self.table("payload"))}),
         )
 
     # --- parts of the steps ---------------------------------------------------------------

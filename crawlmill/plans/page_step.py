@@ -15,18 +15,21 @@ from crawlmill.functions.urls import url_netloc, url_scheme
 from crawlmill.operators import assets, links as L
 from crawlmill.operators.content import content_verdicts
 from crawlmill.operators.discovery import Discovery, discover
+from crawlmill.operators.store import Payloads, read_wanted
 from crawlmill.operators.transitions import page_state, page_transitions
 from crawlmill.session import materialize
 
 LINK_COLUMNS = ("scheme", "host", "hrefs", "onclicks", "images")
 
 
-def page_features(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
+def page_features(
+    pages: DataFrame, keep: Sequence[str], with_body: bool = False
+) -> DataFrame:
     """Everything the step needs from a page, in one pass over its markup.
 
     Input: keep..., ``url, html, status``. Markup counts only for good responses. Result:
-    keep..., ``url, status, has_body, content_hash`` and the raw link arrays. The markup
-    stays behind.
+    keep..., ``url, status, has_body, content_hash`` and the raw link arrays, and
+    on request the page without its head as ``html_content``.
     """
     good = F.when(page_state(F.col("status")) == "ok", F.col("html"))
     visible = pages.select(
@@ -36,6 +39,7 @@ def page_features(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
     return visible.select(
         *keep, "url", "status", "has_body",
         F.when(F.col("has_body"), H.content_hash(F.col("_html"))).alias("content_hash"),
+        *([F.when(F.col("has_body"), H.page_body(F.col("_html"))).alias("html_content")] if with_body else []),
         url_scheme(F.col("url")).alias("scheme"),
         url_netloc(F.col("url")).alias("host"),
         H.attribute_values(markup, H.HREF).alias("hrefs"),
@@ -62,17 +66,16 @@ class BatchResult:
     discovery: Discovery
     documents: DataFrame
     images: DataFrame
+    features: DataFrame
 
-    def contents(self, batch: DataFrame) -> DataFrame:
-        """``page_id, html_content`` of the pages whose content is stored.
+    def contents(self) -> DataFrame:
+        """``page_id, html_content``: the bodies without head of the pages whose content is stored.
 
-        The pages that are not stored are joined away. Where their ids are too many for a
-        broadcast, a batch bucketed by ``page_id`` saves the shuffle of the markup.
+        They were written with the features, before anything was known about copies; the verdicts
+        choose among the written rows, and no markup is joined or shuffled.
         """
-        skipped = self.pages.where(~F.col("store_content")).select("page_id")
-        return batch.select("page_id", F.col("html").alias("html_content")).join(
-            skipped, "page_id", "left_anti"
-        )
+        stored = self.pages.where("store_content")
+        return read_wanted(self.features, "page_id", stored, ["page_id", "html_content"])
 
     def frontier_removed(self) -> DataFrame:
         return self.pages.where(~F.col("requeue")).select("page_id")
@@ -86,18 +89,18 @@ def process_batch(
     as_of: datetime,
     search_domains: Sequence[str] = (),
     final_dequeue: bool = False,
-    files: DataFrame | None = None,
+    files: Payloads | None = None,
 ) -> BatchResult:
     """Process ``batch(page_id, url, html, status, old_type, old_status)``.
 
-    Pages are taken in the order of their ids. The markup is read once; its features are
-    written, because both the duplicate test and the link extraction use them. The
-    features pass the one join that brings the verdict, so links are taken from the
-    joined rows without another shuffle.
+    Pages are taken in the order of their ids. The markup is read once; its features and the
+    body that may be stored are written side by side. The features pass the one join that
+    brings the verdict, so links are taken from the joined rows without another shuffle. The
+    bodies stay where they are until :meth:`BatchResult.contents` reads those that are stored.
     """
     keep = ("page_id", "old_type", "old_status")
-    features = materialize(page_features(batch, keep), "features")
-    verdicts = content_verdicts(features, ("page_id",), known_hashes, key="page_id")
+    features = materialize(page_features(batch, keep, with_body=True), "features")
+    verdicts = content_verdicts(features.drop("html_content"), ("page_id",), known_hashes, key="page_id")
     judged = page_transitions(
         verdicts.withColumn("is_dup", F.col("page_type_code") == "DUPLICATE"),
         final_dequeue,
@@ -121,4 +124,5 @@ def process_batch(
         Discovery(materialize(discovery.found, "found"), known_sites, as_of),
         assets.document_rows(links, files),
         assets.image_rows(links, as_of, files),
+        features,
     )

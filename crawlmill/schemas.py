@@ -28,7 +28,7 @@ PAGE_DATA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("page_id", T.LongType()),
     T.StructField("data_type_code", T.StringType()),
-    T.StructField("data", T.BinaryType()),
+    T.StructField("digest", T.StringType()),
 ])
 
 IMAGE = T.StructType([
@@ -36,10 +36,16 @@ IMAGE = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("filename", T.StringType()),
     T.StructField("content_type", T.StringType()),
-    T.StructField("data", T.BinaryType()),
+    T.StructField("digest", T.StringType()),
     T.StructField("accessed_time", T.TimestampNTZType()),
 ])
 
+# Files by content: page_data and image refer to them by digest.
+PAYLOAD = T.StructType([
+    T.StructField("digest", T.StringType()),
+    T.StructField("data", T.BinaryType()),
+])
+
 LINK = T.StructType([
     T.StructField("from_page", T.LongType()),
     T.StructField("to_page", T.LongType()),
@@ -56,6 +62,7 @@ TABLES = {
     "page": PAGE,
     "page_data": PAGE_DATA,
     "image": IMAGE,
+    "payload": PAYLOAD,
     "link": LINK,
     "frontier": FRONTIER,
 }

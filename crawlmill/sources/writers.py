@@ -15,6 +15,7 @@ _LIMITED = {
     "page": {"url": "url", "page_type_code": "code"},
     "page_data": {"data_type_code": "code"},
     "image": {"filename": "filename", "content_type": "content_type"},
+    "payload": {},
     "link": {},
     "frontier": {},
 }

@@ -135,5 +135,7 @@ def test_process_batch(spark):
         ("http://d.si/1", "http://d.si/n"), ("http://d.si/7", "http://e.si/o")]
     assert rows(out.discovery.new_sites()) == [("e.si",)]
     assert rows(out.documents, "page_id", "data_type_code") == [(1, "PDF")]
-    assert rows(out.contents(batch), "page_id") == [(1,), (7,)]
+    assert rows(out.contents()) == [
+        (1, "<html><body><a href='/2'>x</a><a href='/n'>x</a><a href='/f.pdf'>x</a></body></html>"),
+        (7, "<html><body><a href='http://e.si/o'>x</a><a href='/n'>x</a></body></html>")]
     assert rows(out.frontier_removed(), "page_id") == [(1,), (2,), (4,), (6,), (7,)]

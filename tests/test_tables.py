@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from crawlmill import constants as C
 from crawlmill.limits import COLUMN_LIMITS
 from crawlmill.operators import assets, reports, tables as T, transitions
+from crawlmill.operators.store import stage_files
 from crawlmill.sources import readers, writers
 
 AS_OF = datetime(2024, 1, 1)
@@ -85,7 +86,7 @@ def test_assets(spark):
         (2, "http://d.com/j.jpeg", "image"), (2, "http://d.com/k.jpg", "image"),
         (2, long_name, "image"), (3, "http://d.com/p", "page"),
     ], "page_id long, url string, cls string")
-    assert rows(assets.document_rows(links), "url", "data_type_code", "data") == [
+    assert rows(assets.document_rows(links), "url", "data_type_code", "digest") == [
         ("http://d.com/a.pdf", "PDF", None), ("http://d.com/a.pdf", "PDF", None),
         ("http://d.com/c.DOCX", "DOCX", None)]
     found = assets.image_rows(links, AS_OF)
@@ -96,12 +97,13 @@ def test_assets(spark):
     files = spark.createDataFrame(
         [("http://d.com/a.pdf", bytearray(2_500_000)), ("http://d.com/k.jpg", bytearray(3_500_000))],
         "url string, content binary")
-    assert rows(assets.document_rows(links, files).select("url", F.length("data"), "is_cut")) == [
+    whole = stage_files(files)
+    assert rows(assets.document_rows(links, whole), "url", "n_bytes", "is_cut") == [
         ("http://d.com/a.pdf", 2_500_000, False)] * 2
-    cut = assets.document_rows(links, files, COLUMN_LIMITS)
-    assert rows(cut.select("url", F.length("data"), "is_cut")) == [("http://d.com/a.pdf", 2_000_000, True)] * 2
-    cut = assets.image_rows(links, AS_OF, files, COLUMN_LIMITS)
-    assert rows(cut.select("url", F.length("data"), "is_cut")) == [("http://d.com/k.jpg", 3_000_000, True)]
+    cut = assets.document_rows(links, stage_files(files, COLUMN_LIMITS.document_bytes))
+    assert rows(cut, "url", "n_bytes", "is_cut") == [("http://d.com/a.pdf", 2_000_000, True)] * 2
+    cut = assets.image_rows(links, AS_OF, stage_files(files, COLUMN_LIMITS.image_bytes))
+    assert rows(cut, "url", "n_bytes", "is_cut") == [("http://d.com/k.jpg", 3_000_000, True)]
 
 
 def test_sinks_reject_what_does_not_fit(spark, tmp_path):
