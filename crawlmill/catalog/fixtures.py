@@ -73,6 +73,36 @@ LONG_MARKUP = (
     f'<img src="/long/{LONG_NAME[:300]}{{id}}.png">'
 )
 
+# The same markup as one writes it in one way only.
+EXTRA_NORMAL = (
+    '<img src="/i/{id}.PNG"/><img alt="p" src="http://cdn.example.net/p.1/{id}.jpeg"/>'
+    '<img src="/i/{id}.gif"/><a href="/f/{id}.pdf">d</a><a href="/f/{id}.Pdf">d</a>'
+    '<a class="doc" href="/f/{id}.DOCX">d</a><a href="/f/{id}.pptX/">d</a>'
+    '<a href="/v/{id}.mp4">v</a><a href="/v/{id}.mp3">v</a><a href="/x/{id}.xls">x</a>'
+    '<a href="mailto:a@b.si">m</a><a href="info@bč.si">m</a><a href="javascript:go()">j</a>'
+    '<a href="../up/./a/../{id}/index.html?x=1#top">u</a><a href="#top">t</a>'
+    '<a href="//CDN.example.org:80/a b/é%c3%a9/{id}&amp;~*">s</a>'
+    '<a href="http://cdn.example.net/n/{id}">n</a><a href="http://Docs.example.org/{id}">n</a>'
+    '<span onclick="location.href=\'/o/{id}\'">o</span>'
+    '<span onclick="window.location=\'/o/{id}.pdf\'">p</span>'
+    '<span onclick="document.location.href=\'/o/{id}.xls\';">q</span>'
+    '<span onclick="location.href = \'/w\'">w</span><span onclick="window.open(\'/w\')">w</span>'
+    '<link href="/l/{id}"/><!-- <a href="/hidden/{id}">h</a> -->'
+    '<script>var s = "<a href=\'/hidden/{id}\'>";</script>'
+    '<a href="/r/ééé/š{id}">r</a><a href="/r/&amp;lt;–©/{id}">r</a>'
+    '<span onclick="location.href=\'/r/&amp;&amp;amp;/ö{id}\'">r</a></span>'
+    '<img src="/r/Äü{id}.png"/>'
+)
+LONG_NORMAL = LONG_MARKUP.replace('.png">', '.png"/>')
+# How every fifth page spells its markup, by the rest of its id: what is replaced by what, as patterns.
+SPELLINGS = (
+    (),
+    (("<p>", "<P >"), ("</p>", "</P\n>"), ("<(li|div|nav)", "<$1\t")),
+    (('<a href="([^"]*)">', "<A HREF = '$1' >"), ('<div class="ad">', "<DIV CLASS=ad>")),
+    (("<br>", "<br />"), ("<(b|h1)>", "<$1\n>"), ("</(b|h1)>", "</$1 >")),
+    (("&amp;", "&#38;"), ("é", "&eacute;"), ("&middot;", "&#xB7;")),
+)
+
 TREE = 4  # source of the links between pages, after href, onclick and image
 SITEMAP_BLOCK = 1000  # pages per sitemap file
 SITEMAP_HEAD = '<?xml version="1.0"?><urlset>'
@@ -218,6 +248,18 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def respelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, each in one of five spellings of its markup."""
+    html, rest = F.col("html"), F.col("page_id") % len(SPELLINGS)
+    spelled = F.when(rest == 0, html)
+    for number, spelling in enumerate(SPELLINGS[1:], 1):
+        text = html
+        for pattern, other in spelling:
+            text = F.regexp_replace(text, pattern, other)
+        spelled = spelled.when(rest == number, text)
+    return pages(spark, sf_dir).select("page_id", spelled.alias("html"))
+
+
 def canonical_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The responses under the canonical URLs of their pages; the markup passes no join."""
     own = responses(spark, sf_dir).withColumnRenamed("url", "raw").withColumns({

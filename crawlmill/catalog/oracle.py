@@ -30,6 +30,10 @@ EXTRA = " || CAST(p.page_id AS VARCHAR) || ".join(
 LONG = " || CAST(p.page_id AS VARCHAR) || ".join(
     _text(part) for part in X.LONG_MARKUP.split("{id}")
 )
+EXTRA_NORMAL, LONG_NORMAL = (
+    " || CAST(p.page_id AS VARCHAR) || ".join(_text(part) for part in text.split("{id}"))
+    for text in (X.EXTRA_NORMAL, X.LONG_NORMAL)
+)
 LONG_PAGE = f"page_id % {X.LONG_STEP} = {X.LONG_REST}"
 LONG_FILES = (("/long/" + X.LONG_NAME + "/", ".pdf"), ("/long/" + X.LONG_NAME[:300], ".png"))
 
@@ -124,16 +128,29 @@ def _links(name: str, scope: bool) -> dict[str, str]:
     }
 
 
-def _hash(text: str) -> str:
+def _tight(text: str) -> str:
     tight = (
         f"regexp_replace(regexp_replace({text}, '>{STRIP_CLASS}+', '>', 'g'), "
         f"'{STRIP_CLASS}+<', '<', 'g')"
     )
-    return f"md5(regexp_replace({tight}, '^{STRIP_CLASS}+|{STRIP_CLASS}+$', '', 'g'))"
+    return f"regexp_replace({tight}, '^{STRIP_CLASS}+|{STRIP_CLASS}+$', '', 'g')"
+
+
+def _normal(html: str) -> str:
+    """A given page in normal form; its markup has few things that can be written in another way."""
+    for old, new in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("<br>", "<br/>"), ("<!DOCTYPE html>", "<!doctype html>")):
+        html = f"replace({html}, {_text(old)}, {_text(new)})"
+    return _tight(f"regexp_replace({html}, '&(amp;?)?', '&amp;', 'g')")
 
 
 BODY = "regexp_replace(html, '(?is)<head>.*?</head>', '', 'g')"
 
+# The hash of an enriched page: what is put behind a page begins and ends with a tag.
+ENRICHED_HASH = (
+    f"md5({_normal(BODY.replace('html', 'p.html'))} || {EXTRA_NORMAL} || "
+    f"CASE WHEN p.{LONG_PAGE} THEN {LONG_NORMAL} ELSE '' END)"
+)
+
 STEPS: dict[str, str] = {
     # --- derived tables -------------------------------------------------------------
     "own": f"""
@@ -364,7 +381,7 @@ STEPS: dict[str, str] = {
                status IS NULL OR (status >= 400 AND old_status IS NULL) AS requeue,
                coalesce(status < 400 AND has_body AND NOT is_dup, false) AS store_content
         FROM (SELECT *, page_id % 10 <> 3 AS has_body, page_id % 3 = 0 AS is_dup FROM response)""",
-    "doc_hashes": f"SELECT doc_id AS id, {_hash('text')} AS content_hash FROM documents",
+    "doc_hashes": f"SELECT doc_id AS id, md5({_tight('text')}) AS content_hash FROM documents",
     "next_pages": """
         SELECT page_id AS id, c.url, c.domain,
                CASE WHEN status IS NULL THEN old_type ELSE m.page_type_code END AS page_type_code,
@@ -373,8 +390,8 @@ STEPS: dict[str, str] = {
         JOIN (SELECT page_id, old_type, old_status FROM response) USING (page_id)""",
     "batch": f"""
         SELECT page_id, r.html, old_type, old_status, status, c.url,
-               CASE WHEN status < 400 THEN {_hash(BODY.replace('html', 'r.html'))} END AS content_hash
-        FROM response r JOIN canon c USING (page_id)""",
+               CASE WHEN status < 400 THEN {ENRICHED_HASH} END AS content_hash
+        FROM response r JOIN canon c USING (page_id) JOIN pages p USING (page_id)""",
     "judged": """
         SELECT *, CASE WHEN status IS NULL THEN old_type
                     WHEN status >= 400 THEN CASE WHEN old_status IS NULL THEN 'FRONTIER' ELSE 'HTML' END
@@ -533,7 +550,7 @@ def sql() -> dict[str, str]:
                       FROM page_links l JOIN canon c USING (page_id)
                       WHERE l.url IN (SELECT url FROM canon)))
             GROUP BY url""",
-        "content_hash": f"SELECT page_id, {_hash(BODY)} AS content_hash FROM pages",
+        "content_hash": f"SELECT page_id, md5({_normal(BODY)}) AS content_hash FROM pages",
         "content_dup": """
             SELECT id, content_hash, CASE WHEN row_number() OVER (
                        PARTITION BY content_hash ORDER BY id) = 1

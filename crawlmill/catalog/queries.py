@@ -406,7 +406,8 @@ def _hashed_documents(spark, sf_dir) -> DataFrame:
 
 @query
 def content_hash(spark, sf_dir):
-    return X.pages(spark, sf_dir).select(
+    """Pages in five spellings of their markup; the hash is that of the page as given."""
+    return X.respelled_pages(spark, sf_dir).select(
         "page_id", H.content_hash(F.col("html")).alias("content_hash")
     )
 

@@ -6,11 +6,12 @@ page and needs no deep recursion, however long a page is.
 
 from __future__ import annotations
 
-from html.entities import html5
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlmill.functions.markup import WHITESPACE, normal_form
+from crawlmill.functions.references import decode_entities
+
 # What is not closed reaches to the end of the page.
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _NAME_END = r"(?=[\s/>])"
@@ -33,28 +34,13 @@ _INVISIBLE = (
 )
 _BODY_TAG = rf"(?i)<body{_NAME_END}"
 
-# Whitespace of any kind, as text trimming understands it: as a pattern and as a list.
-WHITESPACE = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]"
-_WHITESPACE_CHARACTERS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    + "".join(map(chr, range(0x2000, 0x200B)))
-    + "\u2028\u2029\u202f\u205f\u3000"
-)
-
-# Blocks whose whitespace counts are kept; elsewhere whitespace next to a tag goes. Only
-# the first blank of a run starts a match, so long runs stay linear.
-_BESIDE_TAGS = (
-    rf"(?s)(<(?i:pre|textarea){_NAME_END}.*?(?:</(?i:pre|textarea)\s*>|\z)){WHITESPACE}*+"
-    rf"|(>){WHITESPACE}++|{WHITESPACE}(?<!{WHITESPACE}{WHITESPACE}){WHITESPACE}*+(?=<)"
-)
-
 # Names and bare values hold no "<": a tag that is not closed ends where the next begins.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'<>][^\s<>]*+)"""
 
 
 def strip(text: Column) -> Column:
     """Text without whitespace at both ends."""
-    return F.btrim(text, F.lit(_WHITESPACE_CHARACTERS))
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def _attribute_pattern(attribute: str, tag: str = "[a-z][^\\s/>]*+") -> str:
@@ -102,79 +88,11 @@ def unquote_value(raw: Column) -> Column:
     return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
 
 
-# A character reference as HTML reads it: numbers and names, also without a semicolon.
-_REFERENCE = r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[^\t\n\f <&#;]{1,32};?)"
-# Names that count without a semicolon and in front of other letters, the longest first.
-_OPEN_NAMES = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
-# What numbers from 128 to 159 mean: Windows-1252, where that has a character.
-_WINDOWS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
-_LAST_CHARACTER = 0x10FFFF
-
-
-def _named_characters() -> Column:
-    """The names of the standard with their characters, as one constant map."""
-    split = lambda texts: F.split(F.lit("\x01".join(texts)), "\x01")
-    return F.map_from_arrays(split(html5.keys()), split(html5.values()))
-
-
-def _character(number: Column) -> Column:
-    """The character of a number as HTML reads it; empty for what is no character."""
-    invalid = (
-        number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
-        | number.between(0xFDD0, 0xFDEF) | (number % 0x10000 >= 0xFFFE)
-    )
-    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return (
-        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > _LAST_CHARACTER), "\ufffd")
-        .when(number.between(128, 159), F.get(F.array(*map(F.lit, _WINDOWS)), (number - 128).cast("int")))
-        .when(invalid, "")
-        .otherwise(plain)
-    )
-
-
-def _decoded_reference(reference: Column) -> Column:
-    def number(digits: Column, base: int, most: int) -> Column:
-        # Zeros in front are no digits; longer numbers are beyond all characters.
-        held = F.regexp_replace(digits, "^0+(?=.)", "")
-        return F.when(F.length(held) > most, _LAST_CHARACTER + 1).otherwise(F.conv(held, base, 10).cast("long"))
-
-    decimal = F.regexp_extract(reference, "^&#([0-9]+)", 1)
-    hexadecimal = F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+)", 1)
-    name = F.substring(reference, F.lit(2), F.length(reference))
-    start = F.regexp_extract(name, _OPEN_NAMES, 0)
-    known = _named_characters()
-    named = F.coalesce(
-        F.try_element_at(known, name),
-        F.concat(F.try_element_at(known, start), F.substring(name, F.length(start) + 1, F.length(name))),
-        reference,
-    )
-    return (
-        F.when(decimal != "", _character(number(decimal, 10, 7)))
-        .when(hexadecimal != "", _character(number(hexadecimal, 16, 6)))
-        .otherwise(named)
-    )
-
-
-def decode_entities(text: Column) -> Column:
-    """Decode all character references in one pass from left to right, as HTML parsers do."""
-    between = F.split(text, _REFERENCE, -1)
-    found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), _decoded_reference)
-    joined = F.zip_with(between, found, lambda plain, character: F.concat(plain, F.coalesce(character, F.lit(""))))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(joined, "")).otherwise(text)
-
-
-def normalized_content(body: Column) -> Column:
-    """Body text in which whitespace next to tags and at both ends is gone.
+def content_hash(html: Column) -> Column:
+    """Fingerprint of a page's body, NULL if there is no page.
 
-    Two pages get the same text exactly if they differ in nothing but the head and the
-    whitespace around their tags. Inside ``pre`` and ``textarea`` whitespace counts.
+    Pages that differ in their head or in the spelling of their markup alone have the same: the body is
+    hashed in its normal form (see :mod:`crawlmill.functions.markup`).
     """
-    return strip(F.regexp_replace(body, _BESIDE_TAGS, "$1$2"))
-
-
-def content_hash(html: Column) -> Column:
-    """Fingerprint of a page's body, NULL if there is no page."""
     marked_up = F.contains(html, F.lit("<"))
-    return F.md5(
-        F.when(marked_up, normalized_content(page_body(html))).otherwise(strip(html))
-    )
+    return F.md5(F.when(marked_up, normal_form(page_body(html))).otherwise(strip(html)))
