@@ -112,9 +112,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_path(sf_dir: str, name: str) -> str:
-    """Path of a table for a file stream: a pattern, as a stream takes no single file."""
-    return f"{sf_dir}/{{{name}}}.parquet"
+def third_of(key: Column, low: int, span: int) -> Column:
+    """0, 1 or 2 by the place of a number in its range."""
+    return F.when(key <= low + span // 3, 0).when(key <= low + 2 * span // 3, 1).otherwise(2)
+
+
+def comes_later(site: Column) -> Column:
+    return site % 4 == 1
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,6 +196,11 @@ STEPS: dict[str, str] = {
     "queue": """
         SELECT event_id AS page_id, user_id AS site_id, ts AS time_added,
                event_type = 'error' AS occupied FROM events""",
+    "arrivals": """
+        SELECT page_id, site_id, time_added, CASE WHEN moment <= low + (high - low) // 3 THEN 0
+                   WHEN moment <= low + 2 * (high - low) // 3 THEN 1 ELSE 2 END AS third
+        FROM (SELECT *, epoch_us(time_added) AS moment, min(epoch_us(time_added)) OVER () AS low,
+                     max(epoch_us(time_added)) OVER () AS high FROM queue)""",
     "queue_site": f"""
         SELECT DISTINCT user_id AS id, CASE WHEN user_id % 3 = 0 THEN NULL
                    WHEN user_id % 2 = 0 THEN {OPENED} ELSE {OPENS_LATER} END AS next_acces,
@@ -595,7 +600,17 @@ def sql() -> dict[str, str]:
                    false AS occupied FROM queue""",
         "fetch_schedule": SCHEDULE,
         "fetch_schedule_split": SCHEDULE.replace("FROM queue)", "FROM queue WHERE NOT occupied)"),
-        "stream_schedule": SCHEDULE,
+        # Ranks count within a third of the arrivals; sites that come later are open and slow until then.
+        "stream_schedule": f"""
+            SELECT page_id, site_id, row_number() OVER (PARTITION BY site_id, third ORDER BY time_added, page_id) AS site_rank,
+                   CASE WHEN site_id % 4 <> 1 OR delay IS NULL THEN opens + to_seconds((rank - 1) * coalesce(delay, {C.DEFAULT_CRAWL_DELAY}))
+                        WHEN third = 0 THEN {AS_OF} + to_seconds((rank - 1) * {C.DEFAULT_CRAWL_DELAY})
+                        WHEN early = 0 THEN opens + to_seconds((rank - 1) * delay)
+                        ELSE {AS_OF} + to_seconds(early * {C.DEFAULT_CRAWL_DELAY} + (rank - early - 1) * delay) END AS fetch_time
+            FROM (SELECT page_id, site_id, time_added, third, greatest(coalesce(next_acces, {AS_OF}), {AS_OF}) AS opens, delay,
+                         row_number() OVER (PARTITION BY site_id ORDER BY time_added, page_id) AS rank,
+                         count(*) FILTER (third = 0) OVER (PARTITION BY site_id) AS early
+                  FROM arrivals LEFT JOIN queue_site ON queue_site.id = site_id)""",
         "page_state": """
             SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'no response'
                      WHEN page_id % 10 < 3 THEN 'error' ELSE 'ok' END AS state FROM pages""",

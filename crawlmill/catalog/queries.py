@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from crawlmill.catalog import fixtures as X
 from crawlmill.functions import html as H
@@ -730,37 +731,47 @@ def crawl_round(spark, sf_dir):
     return db.table("page").select("id", "site_id", "url", "page_type_code", "http_status_code")
 
 
+def _in_thirds(spark, rows: DataFrame, key: Column, run: Callable[[DataFrame, int], StreamingQuery]) -> None:
+    """Let the rows arrive in three parts by their key, and run the stream after each: three micro-batches."""
+    folder = new_work_path(spark, "arrivals")
+    rows = materialize(rows.withColumn("_key", key), "arriving")
+    ends = rows.agg(F.min("_key").alias("low"), F.max("_key").alias("high")).first()
+    low, span = ends["low"] or 0, (ends["high"] or 0) - (ends["low"] or 0)
+    third = X.third_of(F.col("_key"), low, span)
+    for number in range(3):
+        rows.where(third == number).drop("_key").write.mode("append").parquet(folder)
+        arrived = readers.page_stream(spark, folder, schema=rows.drop("_key").schema)
+        run(arrived, number).awaitTermination()
+
+
 @query
 def stream_new_urls(spark, sf_dir):
     root = new_work_path(spark, "new-urls")
-    pages = readers.page_stream(spark, X.stream_path(sf_dir, "pages"))
-    urls = jobs.new_url_stream(pages, X.SEARCH_DOMAINS)
-    jobs.write_stream(urls, f"{root}/urls", f"{root}/checkpoint").awaitTermination()
-    return jobs.read_batches(spark, f"{root}/urls")
+    _in_thirds(
+        spark, X.pages(spark, sf_dir), F.col("page_id"),
+        lambda pages, _: jobs.new_url_stream(pages, root, X.SEARCH_DOMAINS),
+    )
+    return jobs.read_batches(spark, f"{root}/urls").select("url")
 
 
 @query
 def stream_content_dup(spark, sf_dir):
     root = new_work_path(spark, "contents")
-    schema = X.table(spark, sf_dir, "documents").schema
-    arriving = readers.page_stream(spark, X.stream_path(sf_dir, "documents"), schema=schema)
-    contents = arriving.select(
-        F.col("doc_id").alias("id"), H.content_hash(F.col("text")).alias("content_hash")
-    )
-    jobs.content_stream(contents, root).awaitTermination()
+    hashed = X.documents(spark, sf_dir).select("id", H.content_hash(F.col("text")).alias("content_hash"))
+    _in_thirds(spark, hashed, F.col("id"), lambda contents, _: jobs.content_stream(contents, root))
     return jobs.read_batches(spark, f"{root}/verdicts").select("id", "content_hash", "page_type_code")
 
 
 @query
 def stream_schedule(spark, sf_dir):
+    """URLs by their time; every fourth site has a row only from the second part on."""
     root = new_work_path(spark, "schedule")
-    schema = X.table(spark, sf_dir, "events").schema
-    arriving = readers.page_stream(spark, X.stream_path(sf_dir, "events"), schema=schema).select(
-        F.col("event_id").alias("page_id"), F.col("user_id").alias("site_id"),
-        F.col("ts").alias("time_added"),
+    sites = lambda session: X.frontier_sites(session, sf_dir)
+    first = lambda session: sites(session).where(~X.comes_later(F.col("id")))
+    _in_thirds(
+        spark, _queued(spark, sf_dir), F.unix_micros(F.col("time_added").cast("timestamp")),
+        lambda urls, number: jobs.schedule_stream(urls, sites if number else first, X.AS_OF, root),
     )
-    current = lambda session: X.frontier_sites(session, sf_dir)
-    jobs.schedule_stream(arriving, current, X.AS_OF, root).awaitTermination()
     return jobs.read_batches(spark, f"{root}/schedule").select(
         "page_id", "site_id", "site_rank", "fetch_time"
     )

@@ -14,21 +14,37 @@ def page(i, *links):
     return (i, f"http://d.si/{i}", "<body>" + "".join(f"<a href='{u}'>x</a>" for u in links) + "</body>")
 
 
-def test_each_url_is_emitted_once_over_restarts(spark, tmp_path):
-    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+def test_each_url_is_written_once_over_restarts(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "work")
 
     def arrive(*rows_):
         spark.createDataFrame(list(rows_), FETCHED_PAGE).coalesce(1).write.mode("append").parquet(folder)
 
     def run():
-        urls = jobs.new_url_stream(page_stream(spark, folder))
-        jobs.write_stream(urls, out, state).awaitTermination()
-        return rows(spark.read.parquet(out))
+        jobs.new_url_stream(page_stream(spark, folder), root).awaitTermination()
+        return rows(jobs.read_batches(spark, f"{root}/urls"), "url")
 
     arrive(page(1, "/a", "/b", "/a"), page(2, "/a", "/x.xls"))
     assert run() == [("http://d.si/a",), ("http://d.si/b",)]
     arrive(page(3, "/b", "/c"), *[page(i, "/a") for i in range(4, 60)])
     assert run() == [("http://d.si/a",), ("http://d.si/b",), ("http://d.si/c",)]
+    arrive(page(60, "/a", "/b"), page(61))
+    assert run() == [("http://d.si/a",), ("http://d.si/b",), ("http://d.si/c",)]
+
+
+def test_a_batch_reads_the_buckets_it_meets(spark, tmp_path):
+    store = jobs.KeyedStore(spark, str(tmp_path / "store"), "k string", "k", digits=2).start()
+    keys = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    store.add(0, keys)
+    one = spark.createDataFrame([("17",), (None,)], "k string")
+    found = store.before(1, one)
+    assert ("17",) in rows(found, "k") and found.count() < 40
+    assert len(found.inputFiles()) <= 2 < len(store.before(1, keys).inputFiles())
+    assert store.before(0, one).count() == 0 and store.before(1, spark.createDataFrame([], "k string")).count() == 0
+    store.add(0, keys)  # the same batch again
+    assert store.before(1, keys).count() == 3000
+    store.add(1, spark.createDataFrame([("new",), (None,)], "k string"))
+    assert store.before(2, spark.createDataFrame([("new",)], "k string")).where("k = 'new'").count() == 1
 
 
 def test_bounded_state_variant(spark, tmp_path):
@@ -37,7 +53,7 @@ def test_bounded_state_variant(spark, tmp_path):
         "seen", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     df.write.parquet(folder)
     stream = page_stream(spark, folder, schema=df.schema)
-    urls = jobs.new_url_stream(stream, event_time="seen", delay="1 hour")
+    urls = jobs.recent_url_stream(stream, "seen", "1 hour")
     jobs.write_stream(urls, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")), "url") == [("http://d.si/a",), ("http://d.si/b",)]
 
