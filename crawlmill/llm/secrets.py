@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlmill.llm.common import text_or_empty
-from crawlmill.llm.guess_cost import guess_cost, word_ranks
+from crawlmill.llm.guess_cost import Words, guess_cost, public_words
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -71,7 +71,7 @@ def _covered(start: int, end: int, starts: list[int], ends: list[int]) -> bool:
     return True
 
 
-def all_spans(text: str, ranks, longest: int, least_cost: float = LEAST_COST) -> list[Span]:
+def all_spans(text: str, words: Words, least_cost: float = LEAST_COST) -> list[Span]:
     """The base spans, and of credential-context values they do not cover wholly those that cost enough."""
     base = base_spans(text)
     lowered = text.lower()
@@ -83,17 +83,12 @@ def all_spans(text: str, ranks, longest: int, least_cost: float = LEAST_COST) ->
             start, end = match.start(1), match.start(1) + len(value)
             if _covered(start, end, starts, ends):
                 continue
-            cost = guess_cost(value, ranks, longest)
+            cost = guess_cost(value, words)
             if cost >= least_cost:
                 added.append((start, end, "guess", cost))
     return _ordered(base + added)
 
 
-def _words(path: str):
-    ranks = word_ranks(path)
-    return ranks, max(map(len, ranks), default=0)
-
-
 def secret_spans(
     docs: DataFrame,
     words_path: str,
@@ -120,10 +115,10 @@ def secret_spans(
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("cost", pa.float64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, longest = _words(words_path)
+        words = public_words(words_path)
         for batch in batches:
             found = [
-                [dict(zip(("start", "end", "kind", "cost"), s)) for s in all_spans(t.as_py(), ranks, longest, least_cost)]
+                [dict(zip(("start", "end", "kind", "cost"), s)) for s in all_spans(t.as_py(), words, least_cost)]
                 for t in batch.column("text")
             ]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, arrow)], ["id", "spans"])
@@ -146,10 +141,10 @@ def redact(docs: DataFrame, words_path: str, text_col: str = "text", least_cost:
     place = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, longest = _words(words_path)
+        words = public_words(words_path)
         for batch in batches:
             texts = [
-                t.as_py() and redacted(t.as_py(), all_spans(t.as_py(), ranks, longest, least_cost))
+                t.as_py() and redacted(t.as_py(), all_spans(t.as_py(), words, least_cost))
                 for t in batch.column(place)
             ]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from crawlmill.llm import catalog
-from crawlmill.llm.guess_cost import word_ranks
+from crawlmill.llm.guess_cost import public_words
 from crawlmill.llm.secrets import all_spans, redacted
 from tests.llm.test_simhash import brute_components, plain_fingerprint
 
@@ -26,9 +26,8 @@ def brute(rows, good):
     rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
     least = brute_components([plain_fingerprint(r["text"]) for r in rows], 3)
     rows = [r for i, r in enumerate(rows) if least[i] == i]
-    ranks = word_ranks(public_tokenizers.path(catalog.WORDS_FILE))
-    longest = max(map(len, ranks))
-    clean = lambda t: t and redacted(t, all_spans(t, ranks, longest))
+    words = public_words(public_tokenizers.path(catalog.WORDS_FILE))
+    clean = lambda t: t and redacted(t, all_spans(t, words))
     return [r | {"text": clean(r["text"]), "n_chars": r["n_chars"] if r["text"] is None else len(clean(r["text"]))} for r in rows]
 
 
