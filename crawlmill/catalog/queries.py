@@ -29,6 +29,7 @@ from crawlmill.plans.page_step import process_batch as run_batch
 from crawlmill.plans.replay import Replay, prepare_corpus, replay
 from crawlmill.session import materialize, new_work_path
 from crawlmill.sources import readers, writers
+from crawlmill.sources.buckets import BucketTable, TimeQueue
 from crawlmill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,22 +189,36 @@ def _transitions(spark, sf_dir, final_dequeue=False) -> DataFrame:
     )
 
 
-@query
-def apply_updates(spark, sf_dir):
-    updates = _transitions(spark, sf_dir).where(F.col("status").isNotNull()).select(
-        F.col("page_id").alias("id"), "page_type_code", "http_status_code"
-    )
+def _updated_pages(spark, sf_dir) -> DataFrame:
     return T.apply_updates(
-        _page_snapshot(spark, sf_dir), updates, "id", ["page_type_code", "http_status_code"]
+        _page_snapshot(spark, sf_dir), _page_updates(spark, sf_dir), "id", ["page_type_code", "http_status_code"]
+    )
+
+
+def _page_updates(spark, sf_dir) -> DataFrame:
+    return _transitions(spark, sf_dir).where(F.col("status").isNotNull()).select(
+        F.col("page_id").alias("id"), "page_type_code", "http_status_code"
     )
 
 
+@query
+def apply_updates(spark, sf_dir):
+    """The page table in buckets; those that have an updated page are exchanged."""
+    pages = _page_snapshot(spark, sf_dir)
+    table = BucketTable(spark, new_work_path(spark, "page"), pages.schema, "id").create(pages)
+    table.update(_page_updates(spark, sf_dir), ["page_type_code", "http_status_code"])
+    return table.read()
+
+
 @query
 def frontier_remove(spark, sf_dir):
     done = X.table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("page_id")
     )
-    return FR.remove(X.frontier(spark, sf_dir), done)
+    queue = X.frontier(spark, sf_dir)
+    table = BucketTable(spark, new_work_path(spark, "frontier"), queue.schema, "page_id").create(queue)
+    table.delete(done)
+    return table.read()
 
 
 @query
@@ -520,7 +535,12 @@ def frontier_ready(spark, sf_dir):
 
 @query
 def frontier_pop(spark, sf_dir):
-    return FR.next_pages(_ready(spark, sf_dir)).select("page_id", "site_id", "time_added")
+    """The oldest ready row, from a queue that lies in folders by day."""
+    queue = X.frontier(spark, sf_dir)
+    days = TimeQueue(spark, new_work_path(spark, "queue"), queue.schema, "time_added").create(queue)
+    pages, sites = X.frontier_pages(spark, sf_dir), X.frontier_sites(spark, sf_dir)
+    oldest = days.oldest(lambda rows: FR.next_pages(FR.ready_pages(rows, pages, sites, X.AS_OF)))
+    return oldest.select("page_id", "site_id", "time_added")
 
 
 @query
@@ -627,7 +647,7 @@ def process_batch(spark, sf_dir):
 def fk_violations(spark, sf_dir):
     """Checks over derived tables, some of which point at rows that do not exist."""
     links = materialize(_links(spark, sf_dir).select("page_id", "url", "cls"), "links")
-    page = apply_updates(spark, sf_dir).join(
+    page = _updated_pages(spark, sf_dir).join(
         X.sites(spark, sf_dir).select(F.col("id").alias("site_id"), "domain"), "domain"
     )
     codes = T.code_tables(spark)
@@ -649,7 +669,7 @@ def fk_violations(spark, sf_dir):
 
 @query
 def crawl_report(spark, sf_dir):
-    pages = apply_updates(spark, sf_dir)
+    pages = _updated_pages(spark, sf_dir)
     return reports.crawl_report(pages).select(
         F.coalesce("domain", F.lit("all")).alias("domain"),
         F.coalesce("page_type_code", F.lit("all")).alias("page_type_code"),
