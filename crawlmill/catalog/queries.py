@@ -692,7 +692,7 @@ def _corpus_edges(spark, sf_dir) -> DataFrame:
 @query
 def bfs_levels(spark, sf_dir):
     """Levels of everything reachable from the first page of every host."""
-    edges = materialize(_corpus_edges(spark, sf_dir), "edges")
+    edges = _corpus_edges(spark, sf_dir)
     first = X.sites(spark, sf_dir).select(F.col("id").alias("page_id"))
     seeds = X.canonical_pages(spark, sf_dir).join(first, "page_id", "left_semi").select(
         "url", F.col("page_id").alias("seed_order")

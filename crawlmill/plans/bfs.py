@@ -1,20 +1,55 @@
 """Breadth-first search, one level at a time.
 
-Each level is a written table. It cuts the lineage, gives the next join a known size
-(a small level is broadcast, a large one is not) and lets a lost executor cost no more
-than its own tasks. The driver only learns whether a level is empty.
+Edges and found URLs are tables in the same number of buckets, edges by the page they leave and URLs by
+themselves. A level meets its edges bucket by bucket, and what it leads to is shuffled once, to the bucket
+where the URLs found before lie: neither edges nor found URLs are shuffled at any level. Each level is a
+partition of the found URLs, which cuts the lineage and lets a lost executor cost no more than its own
+tasks. The driver only learns whether a level is empty.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlmill.operators.discovery import first_discovery, unseen_urls
 from crawlmill.operators.ranking import numbered
-from crawlmill.session import History
+from crawlmill.session import new_work_path
+from crawlmill.sources.writers import write_bucketed
+
+
+class _Found:
+    """The found URLs: ``url, from_url, seq`` in buckets by URL, one partition for each level."""
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int) -> None:
+        self._spark, self._name, self._buckets = spark, name, buckets
+        self._path = new_work_path(spark, "found")
+
+    def add(self, rows: DataFrame, level: int) -> DataFrame:
+        """Write a level and give it back. There are no clashes: a level is added once."""
+        write_bucketed(rows.withColumn("level", F.lit(level)), self._name, "url", self._buckets, self._path, "level")
+        return self.all().where(F.col("level") == level)
+
+    def all(self) -> DataFrame:
+        return self._spark.table(self._name)
+
+    def files(self) -> DataFrame:
+        """All rows, read from the files without the table."""
+        return self._spark.read.schema(self.all().schema).parquet(self._path)
+
+
+def next_level(edges: DataFrame, level: DataFrame, found: DataFrame, order: Sequence[str]) -> DataFrame:
+    """URLs that a level leads to and that are not found yet, with the page that led there first.
+
+    Edges, level and found URLs come from tables in equal buckets.
+    """
+    parents = level.select(F.col("url").alias("from_url"), F.col("seq").alias("_parent"))
+    met = edges.select("from_url", "url", *order).join(parents, "from_url")
+    queue = ["_parent", *order]
+    return unseen_urls(first_discovery(met, queue), found).select("url", "from_url", *queue)
 
 
 def bfs_levels(
@@ -22,25 +57,32 @@ def bfs_levels(
     seeds: DataFrame,
     order: Sequence[str] = ("source", "pos"),
     max_depth: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Levels and discovery tree of everything reachable from ``seeds(url, seed_order)``.
 
     ``edges(from_url, url, order...)`` are links in page order. Result: ``url, level,
     from_url, seq``, where ``seq`` orders a level as a first-in-first-out queue would.
-    Seeds have no ``from_url``. Edges bucketed by ``from_url`` are joined without being
-    shuffled (see ``write_bucketed``).
+    Seeds have no ``from_url``. ``buckets`` is the number of shuffle partitions unless given; take so
+    many that the edges of a bucket fit into a task. The two tables leave the catalog when the search ends; the
+    files stay in the shared folder.
     """
+    spark = edges.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bfs_{uuid.uuid4().hex}"
+    narrow = edges.select("from_url", "url", *order)
+    write_bucketed(narrow, f"{name}_edges", "from_url", buckets, new_work_path(spark, "edges"))
     start = first_discovery(seeds, ["seed_order"]).select(
-        "url", F.lit(0).alias("level"), F.lit(None).cast("string").alias("from_url"), "seed_order"
+        "url", F.lit(None).cast("string").alias("from_url"), "seed_order"
     )
-    found = History(edges.sparkSession, "bfs")
-    level = found.add(numbered(start, ["seed_order"], "seq").drop("seed_order"))
-    queue = ["_parent", *order]
-    while not level.isEmpty() and (max_depth is None or len(found) <= max_depth):
-        parents = level.select(F.col("url").alias("from_url"), F.col("seq").alias("_parent"))
-        met = edges.select("from_url", "url", *order).join(parents, "from_url")
-        fresh = unseen_urls(first_discovery(met, queue), found.all()).select(
-            "url", F.lit(len(found)).alias("level"), "from_url", *queue
-        )
-        level = found.add(numbered(fresh, queue, "seq").drop(*queue))
-    return found.all()
+    found, depth = _Found(spark, name, buckets), 0
+    try:
+        level = found.add(numbered(start, ["seed_order"], "seq").drop("seed_order"), depth)
+        while not level.isEmpty() and (max_depth is None or depth < max_depth):
+            depth += 1
+            fresh = next_level(spark.table(f"{name}_edges"), level, found.all(), order)
+            level = found.add(numbered(fresh, ["_parent", *order], "seq").drop("_parent", *order), depth)
+        return found.files().select("url", "level", "from_url", "seq")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_edges")

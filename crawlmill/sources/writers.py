@@ -54,13 +54,14 @@ def write_snapshot(df: DataFrame, name: str, path: str, limits: Limits = NO_LIMI
     conform(accepted(df, name, limits), name).write.mode("errorifexists").parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
-    """Save a table clustered by its join key.
+def write_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int, path: str, partition: str | None = None
+) -> None:
+    """Add to a table clustered by its join key; the first call makes it.
 
     Joins and groupings by that key then read it without a shuffle. Use it for what is
-    joined again and again: edges by ``from_url``, pages by ``url``.
+    joined again and again: edges by ``from_url``, pages by ``url``. A ``partition`` column keeps
+    what is added apart.
     """
-    (
-        df.write.bucketBy(buckets, key).sortBy(key)
-        .option("path", path).mode("errorifexists").saveAsTable(table)
-    )
+    writer = df.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("append")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(table)

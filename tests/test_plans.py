@@ -2,13 +2,14 @@ import random
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from model import crawl, levels
 from pyspark.sql import functions as F
 
-from crawlmill.plans.bfs import bfs_levels
+from crawlmill.plans.bfs import bfs_levels, next_level
 from crawlmill.plans.page_step import process_batch
 from crawlmill.plans.replay import prepare_corpus, replay
+from crawlmill.sources.writers import write_bucketed
 
 AS_OF = datetime(2024, 1, 1)
 
@@ -29,6 +30,25 @@ def test_bfs_small_shapes(spark):
     assert set(run_bfs(spark, ["s"], edges, max_depth=1)) == {"s", "a", "b"}
 
 
+def test_a_level_shuffles_neither_edges_nor_found_urls(spark, tmp_path):
+    edges = spark.createDataFrame([(f"n{i}", f"n{(i * 7) % 50}", 1, i) for i in range(200)], "from_url string, url string, source int, pos int")
+    found = spark.createDataFrame([(f"n{i}", None, i, i % 3) for i in range(30)], "url string, from_url string, seq long, level int")
+    write_bucketed(edges, "plan_edges", "from_url", 4, str(tmp_path / "edges"))
+    write_bucketed(found, "plan_found", "url", 4, str(tmp_path / "found"), "level")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = spark.table("plan_found")
+        fresh = next_level(spark.table("plan_edges"), seen.where("level = 1"), seen, ("source", "pos"))
+        plan = plan_of(fresh)
+        assert fresh.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE plan_edges")
+        spark.sql("DROP TABLE plan_found")
+    # One shuffle: that of the links which the level leads to.
+    assert plan.count("Exchange") == 1 and "hashpartitioning(url" in plan
+
+
 def test_bfs_equals_a_queue_on_random_graphs(spark):
     rng = random.Random(3)
     for _ in range(3):
