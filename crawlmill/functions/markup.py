@@ -68,9 +68,14 @@ def _all(text: str, pattern: str) -> str:
 
 
 def _written(text: str) -> str:
-    """Text with its references in one spelling; most texts have nothing to decode or to write."""
+    """Text with its references in one spelling.
+
+    Most texts have nothing to decode or to write, and many have no references but those that stay.
+    """
     escaped = "replace(replace(replace(d, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-    return _let("x", text, f"CASE WHEN x RLIKE '[&<>]' THEN {_let('d', decoding('x'), escaped)} ELSE x END")
+    bare = "NOT (contains(x, '&') OR contains(x, '<') OR contains(x, '>'))"
+    done = f"NOT x RLIKE {quoted('[<>]|&(?!(?:amp|lt|gt);)')}"
+    return _let("x", text, f"CASE WHEN {bare} THEN x WHEN {done} THEN x ELSE {_let('d', decoding('x'), escaped)} END")
 
 
 def _stripped(text: str) -> str:
@@ -131,7 +136,7 @@ def _block_form(token: str) -> str:
 @cache
 def _normal_form() -> str:
     block = quoted(r"^<(?i:script|style|pre|textarea)[\s/>]")
-    form = f"CASE WHEN t RLIKE {block} THEN {_block_form('t')} ELSE {_simple('t', _written(_stripped('t')))} END"
+    form = f"CASE WHEN startswith(t, '<') AND t RLIKE {block} THEN {_block_form('t')} ELSE {_simple('t', _written(_stripped('t')))} END"
     return f"page -> array_join(transform({_all('page', TOKEN)}, t -> {form}), '')"
 
 
