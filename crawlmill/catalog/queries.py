@@ -23,6 +23,7 @@ from crawlmill.operators import (
 )
 from crawlmill.operators.links import extract_links, page_links
 from crawlmill.operators.store import Payloads, stage_files
+from crawlmill.operators.url_index import UrlIndex, unseen_by_index
 from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.crawl_db import CrawlDb
 from crawlmill.plans.page_step import process_batch as run_batch
@@ -323,8 +324,10 @@ def first_discovery(spark, sf_dir):
 
 @query
 def unseen_urls(spark, sf_dir):
+    """Most new URLs are cleared by a bitmap of the known ones; the others meet these."""
     targets = _page_links(spark, sf_dir).select("url").distinct()
-    return discovery.unseen_urls(targets, X.canonical_pages(spark, sf_dir))
+    known = materialize(X.canonical_pages(spark, sf_dir).select("url"), "known-urls")
+    return unseen_by_index(targets, UrlIndex.of(known), known).rows
 
 
 @query
