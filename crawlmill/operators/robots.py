@@ -16,6 +16,7 @@ from crawlmill.functions.urls import (
 )
 from crawlmill.limits import NO_LIMITS, Limits
 from crawlmill.operators.discovery import first_discovery, storable, unseen_urls
+from crawlmill.session import materialize
 
 FETCH, DELAY, FORBIDDEN = "FETCH", "DELAY", "FORBIDDEN"
 
@@ -128,18 +129,44 @@ def _robots_path(url: Column) -> Column:
     )
 
 
+#: Sites with more rules are asked by prefix. The rules of the others travel in one row.
+MANY_RULES = 64
+
+
 def robots_verdicts(
-    urls: DataFrame, policies: DataFrame, carry: Sequence[str] = ()
+    urls: DataFrame, policies: DataFrame, carry: Sequence[str] = (), many: int = MANY_RULES
 ) -> DataFrame:
     """Add ``allowed``, ``delay`` and the policy columns ``carry`` to ``urls(url, domain, ...)``.
 
-    The first rule in file order whose prefix fits decides; no rule allows. All rules of
-    a site travel in one row, so a URL joins one row and no URL is multiplied. No
-    broadcast is forced: Spark takes one only if the policies are measured to be small.
+    The first rule in file order whose prefix fits decides; no rule allows. The rules of a
+    site travel in one row, so a URL joins one row and no URL is multiplied. A site with more than
+    ``many`` rules sends none of them: the paths of its URLs are cut to the lengths that its
+    prefixes have, and these cuts meet the rules by equality, so the cost of a URL follows the number of
+    lengths and not that of rules.
+
+    No broadcast is forced: Spark takes one only if the policies are measured to be small.
     Otherwise it splits a hot domain of URLs (adaptive skew join), which needs plain
     shuffles on both sides: read the policies from a table, do not group them by domain
     in the same plan.
     """
+    long = policies.where(F.size("rules") > many)
+    if long.isEmpty():
+        return _verdicts_by_row(urls, policies, carry).drop("_path")
+    is_long = F.coalesce(F.size("rules") > many, F.lit(False))
+    short = policies.withColumns({"_long": is_long, "rules": F.when(~is_long, F.col("rules"))})
+    found = materialize(_verdicts_by_row(urls, short, [*carry, "_long"]), "verdicts")
+    asked = found.where("_long")
+    verdicts = materialize(_verdicts_by_prefix(asked.select("domain", "_path").distinct(), long), "prefix-verdicts")
+    decided = asked.drop("allowed").join(verdicts, ["domain", "_path"], "left").withColumn(
+        "allowed", F.coalesce("_allow", F.lit(True))
+    )
+    rest = found.where(~F.coalesce("_long", F.lit(False)))
+    columns = [c for c in found.columns if c not in ("_path", "_long")]
+    return rest.select(*columns).unionByName(decided.select(*columns))
+
+
+def _verdicts_by_row(urls: DataFrame, policies: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """URLs with their verdict from the rules in the row of their site, and ``_path``."""
     joined = (
         urls.withColumn("_path", _robots_path(F.col("url")))
         .join(policies.select("domain", "rules", "delay", *carry), "domain", "left")
@@ -150,7 +177,27 @@ def robots_verdicts(
     return (
         joined.withColumn("allowed", F.coalesce(F.get(fitting, F.lit(0))["allow"], F.lit(True)))
         .withColumn("delay", F.coalesce(F.col("delay"), F.lit(C.DEFAULT_CRAWL_DELAY)))
-        .drop("_path", "rules")
+        .drop("rules")
+    )
+
+
+def _verdicts_by_prefix(paths: DataFrame, policies: DataFrame) -> DataFrame:
+    """``domain, _path, _allow`` for the paths that a rule fits; rules with one prefix are one row."""
+    rules = policies.select("domain", F.explode("rules").alias("_rule"))
+    index = rules.groupBy("domain", F.col("_rule.prefix").alias("_prefix")).agg(
+        F.min(F.struct("_rule.pos", "_rule.allow")).alias("_first")
+    )
+    lengths = policies.select(
+        "domain", F.array_distinct(F.transform("rules", lambda rule: F.length(rule["prefix"]))).alias("_lengths")
+    )
+    path = F.col("_path")
+    cuts = F.transform(
+        F.filter("_lengths", lambda size: size <= F.length(path)), lambda size: F.substring(path, F.lit(1), size)
+    )
+    asked = paths.join(lengths, "domain").select("domain", "_path", F.explode(cuts).alias("_prefix"))
+    met = asked.join(materialize(index, "rules-by-prefix"), ["domain", "_prefix"])
+    return met.groupBy("domain", "_path").agg(F.min("_first").alias("_first")).select(
+        "domain", "_path", F.col("_first.allow").alias("_allow")
     )
 
 

@@ -7,6 +7,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from crawlmill.operators import robots as R
+from crawlmill.session import materialize
 
 SITES = "domain string, robots_content string"
 
@@ -198,3 +199,20 @@ def test_long_files_stay_linear(spark):
 def test_only_good_sitemap_responses_count(spark):
     df = spark.createDataFrame([("a", 200), ("b", 404), ("c", None)], "domain string, status int")
     assert rows(R.accepted_sitemaps(df), "domain") == [("a",)]
+
+
+def test_a_site_of_many_rules_is_asked_by_prefix(spark):
+    draw = random.Random(4)
+    parts = ["a", "b", "c", "/", "d/", "1", "%C3%A9"]
+    prefix = lambda: "/" + "".join(draw.choice(parts) for _ in range(draw.randrange(0, 7)))
+    text = "User-agent: *\n" + "".join(f"{draw.choice(['Allow', 'Disallow'])}: {prefix()}\n" for _ in range(10_000)) + "Disallow: \n"
+    few = "User-agent: *\nDisallow: /a\n"
+    sites = spark.createDataFrame([("long.si", text), ("short.si", few), ("none.si", "")], "domain string, robots_content string")
+    urls = [(i, f"http://{d}{prefix()}", d) for i, d in enumerate(["long.si", "short.si", "none.si", "unknown.si"] * 150)]
+    urls += [(900, "http://long.si/", "long.si"), (901, "http://long.si/" + "a" * 2000, "long.si"), (902, "http://long.si/zzz", "long.si")]
+    frame = spark.createDataFrame(urls, "page_id long, url string, domain string")
+    policies = materialize(R.robots_policies(sites), "policies")
+    by_prefix = rows(R.robots_verdicts(frame, policies), "page_id", "allowed", "delay")
+    assert by_prefix == rows(R.robots_verdicts(frame, policies, many=1 << 30), "page_id", "allowed", "delay")
+    assert by_prefix == rows(R.robots_verdicts(frame, policies, many=0), "page_id", "allowed", "delay")
+    assert len(by_prefix) == len(urls) and {a for _, a, _ in by_prefix} == {True, False}
