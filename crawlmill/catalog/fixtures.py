@@ -294,6 +294,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
+def document_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the bodies of pages, in two spellings; every tenth page has no body element."""
+    page_id = F.col("doc_id")
+    title = F.concat(F.lit("<html><head><title>"), page_id.cast("string"), F.lit("</title></head>"))
+    body = lambda start, end: F.concat(title, F.lit(start), F.coalesce("text", F.lit("")), F.lit(end))
+    html = (
+        F.when(page_id % 10 == 3, body("<div><p>", "</p></div></html>"))
+        .when(page_id % 2 == 0, body("<BODY >\n<P>", " </P\n></BODY></html>"))
+        .otherwise(body("<body><p>", "</p></body></HTML>"))
+    )
+    return table(spark, sf_dir, "documents").select(
+        page_id.alias("page_id"), F.concat(F.lit("http://documents.example.org/"), page_id.cast("string")).alias("url"),
+        html.alias("html"), status_of(page_id).alias("status"), F.lit("FRONTIER").alias("old_type"),
+        F.when(page_id % 20 == 1, 404).cast("int").alias("old_status"),
+    )
+
+
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("page_id"), F.col("ts").alias("time_added"),

@@ -614,9 +614,19 @@ def sql() -> dict[str, str]:
         "page_state": """
             SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'no response'
                      WHEN page_id % 10 < 3 THEN 'error' ELSE 'ok' END AS state FROM pages""",
-        "page_transition": """
-            SELECT page_id, page_type_code, http_status_code, requeue, false AS requeue_final,
-                   store_content FROM moves""",
+        "page_transition": f"""
+            SELECT page_id, CASE WHEN status IS NULL THEN 'FRONTIER'
+                       WHEN status >= 400 THEN CASE WHEN old_status IS NULL THEN 'FRONTIER' ELSE 'HTML' END
+                       WHEN has_body AND place > 1 THEN 'DUPLICATE' ELSE 'HTML' END AS page_type_code,
+                   coalesce(status, old_status) AS http_status_code,
+                   status IS NULL OR (status >= 400 AND old_status IS NULL) AS requeue, false AS requeue_final,
+                   coalesce(status < 400 AND has_body AND place = 1, false) AS store_content
+            FROM (SELECT *, row_number() OVER (
+                      PARTITION BY CASE WHEN status < 400 AND has_body THEN text END ORDER BY page_id) AS place
+                  FROM (SELECT doc_id AS page_id, {_tight('text')} AS text, doc_id % 10 <> 3 AS has_body,
+                               CAST(CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 404 WHEN 2 THEN 500 ELSE 200 END AS INTEGER) AS status,
+                               CASE WHEN doc_id % 20 = 1 THEN 404 END AS old_status
+                        FROM documents))""",
         "fk_violations": f"""
             SELECT constraint_name, CAST(value AS VARCHAR) AS value, count(*) AS n_rows FROM (
                 SELECT 'frontier_page' AS constraint_name, CAST(event_id AS VARCHAR) AS value

@@ -26,7 +26,7 @@ from crawlmill.operators.store import Payloads, stage_files
 from crawlmill.operators.url_index import UrlIndex, unseen_by_index
 from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.crawl_db import CrawlDb
-from crawlmill.plans.page_step import process_batch as run_batch
+from crawlmill.plans.page_step import page_features, process_batch as run_batch
 from crawlmill.plans.replay import Replay, prepare_corpus, replay
 from crawlmill.session import materialize, new_work_path
 from crawlmill.sources import readers, writers
@@ -618,10 +618,15 @@ def page_state(spark, sf_dir):
 
 @query
 def page_transition(spark, sf_dir):
-    final = _transitions(spark, sf_dir, final_dequeue=True).select(
+    """Documents as pages: bodies and copies are found in their markup, which has several spellings."""
+    keep = ("page_id", "old_type", "old_status")
+    features = page_features(X.document_responses(spark, sf_dir), keep).select(*keep, "status", "has_body", "content_hash")
+    verdicts = content.content_verdicts(materialize(features, "features"), ("page_id",), key="page_id")
+    judged = verdicts.withColumn("is_dup", F.col("page_type_code") == "DUPLICATE")
+    final = transitions.page_transitions(judged, final_dequeue=True).select(
         "page_id", F.col("requeue").alias("requeue_final")
     )
-    return _transitions(spark, sf_dir).join(final, "page_id").select(
+    return transitions.page_transitions(judged).join(final, "page_id").select(
         "page_id", "page_type_code", "http_status_code", "requeue", "requeue_final",
         "store_content",
     )
