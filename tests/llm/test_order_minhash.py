@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from crawlmill.llm.order_minhash import KMER, LENGTH, PLACE_BITS, SKETCHES, OrderMinHash, compare_with_next, edited, fingerprints, likeness
+from crawlmill.llm.order_minhash import KMER, LENGTH, PLACE_BITS, SKETCHES, OrderMinHash, compare_with_next, fingerprints, likeness
 
 SCHEMA = "doc_id long, text string, part string, fingerprint int"
 MASK = (1 << 64) - 1
