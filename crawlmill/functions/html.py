@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlmill.functions.markup import WHITESPACE, normal_form
-from crawlmill.functions.references import decode_entities
 
 # What is not closed reaches to the end of the page.
 _COMMENT = r"<!--.*?(?:-->|\z)"

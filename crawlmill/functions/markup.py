@@ -15,7 +15,6 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from crawlmill.functions.references import applied, decoding, quoted
 

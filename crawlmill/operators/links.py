@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlmill import constants as C
 from crawlmill.functions import html as H
+from crawlmill.functions.references import decode_entities
 from crawlmill.functions.urls import url_netloc, url_scheme, with_canonical_url
 
 # Order in which a page's links are taken: first href, then onclick, then images.
@@ -66,7 +67,7 @@ def raw_links(
         .select(*carried, F.col("_s.source").alias("source"), F.posexplode("_s.found"))
         .select(
             *carried, "source", "pos",
-            H.decode_entities(H.unquote_value(F.col("col"))).alias("raw"),
+            decode_entities(H.unquote_value(F.col("col"))).alias("raw"),
         )
     )
 

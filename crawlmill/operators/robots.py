@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlmill import constants as C
-from crawlmill.functions.html import decode_entities, strip
+from crawlmill.functions.html import strip
+from crawlmill.functions.references import decode_entities
 from crawlmill.functions.times import ntz, plus_seconds
 from crawlmill.functions.urls import (
     path_of, percent_decode, percent_encode, site_of, with_canonical_url,

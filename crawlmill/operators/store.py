@@ -95,10 +95,8 @@ class Payloads:
 
     def contents(self, known: DataFrame | None = None) -> DataFrame:
         """``digest, data``: every content once, without those whose digest is known."""
-        found = read_first_of(self._staged, "digest", ["digest", "data"])
-        return found if known is None else self._fresh(known)
-
-    def _fresh(self, known: DataFrame) -> DataFrame:
+        if known is None:
+            return read_first_of(self._staged, "digest", ["digest", "data"])
         digests = self._staged.select("digest").distinct().join(known.select("digest"), "digest", "left_anti")
         fresh = materialize(read_wanted(self._staged, "digest", digests, ["digest", "data"]), "fresh-payloads")
         return read_first_of(fresh, "digest", ["digest", "data"])

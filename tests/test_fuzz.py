@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from crawlmill.functions.references import decode_entities
 from crawlmill.functions import html as H
 from crawlmill.operators import links as L, robots as R
 
@@ -32,7 +33,7 @@ def test_pages(spark):
     raw = df.select(
         "page_id", F.col("url").alias("from_url"), F.lit("http").alias("scheme"), F.lit("d.com").alias("host"),
         F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("source"), F.lit(0).alias("pos"),
-        H.decode_entities(F.col("url")).alias("raw"))
+        decode_entities(F.col("url")).alias("raw"))
     urls = L.classified_links(raw)
     assert urls.where(~F.col("url").rlike(r"^https?://[^/]*/[A-Za-z0-9/._~%-]*$")).count() == 0
     df.select(H.content_hash(F.col("html")), H.has_body(F.col("html"))).distinct().count()

@@ -5,6 +5,7 @@ from html.parser import HTMLParser
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from crawlmill.functions.references import decode_entities
 from crawlmill.functions import html as H
 from crawlmill.operators import links as L
 
@@ -212,5 +213,5 @@ def test_references_are_read_once_as_the_standard_decoder_does(spark):
 
     texts = ["".join(piece() for _ in range(rng.randint(0, 8))) for _ in range(1500)] + [None, ""]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for row in df.select("t", H.decode_entities(F.col("t")).alias("d")).collect():
+    for row in df.select("t", decode_entities(F.col("t")).alias("d")).collect():
         assert row.d == (None if row.t is None else html.unescape(row.t)), row.t
