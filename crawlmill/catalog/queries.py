@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 
@@ -28,7 +29,7 @@ from crawlmill.plans.bfs import bfs_levels as search_levels
 from crawlmill.plans.crawl_db import CrawlDb
 from crawlmill.plans.page_step import page_features, process_batch as run_batch
 from crawlmill.plans.replay import Replay, prepare_corpus, replay
-from crawlmill.session import materialize, new_work_path
+from crawlmill.session import materialize, materialize_all, new_work_path
 from crawlmill.sources import readers, writers
 from crawlmill.sources.buckets import BucketTable, TimeQueue
 from crawlmill.streaming import jobs
@@ -134,29 +135,38 @@ def write_tables(spark, sf_dir):
 
     New sites and pages get dense ids behind the known ones; files are stored once by content.
     """
-    known, sites = X.canonical_pages(spark, sf_dir), X.sites(spark, sf_dir).select("id", "domain")
-    links = _links(spark, sf_dir)
-    step = discovery.discover(_page_links(spark, sf_dir), known, sites, LINK_ORDER, X.AS_OF)
-    step = discovery.Discovery(materialize(step.found, "found"), sites, step.as_of)
+    known = X.canonical_pages(spark, sf_dir)
+    given = materialize_all(
+        links=_links(spark, sf_dir), site=X.sites(spark, sf_dir).select("id", "domain"),
+        tree=page_links(L.classified_links(X.tree_links(spark, sf_dir), X.SEARCH_DOMAINS)),
+    )
+    links, sites = given["links"], given["site"]
+    further = page_links(links).unionByName(given["tree"])
+    found = materialize(discovery.discover(further, known, sites, LINK_ORDER, X.AS_OF).found, "found")
+    step = discovery.Discovery(found, sites, X.AS_OF)
     site = T.with_surrogate_ids(step.new_sites(), ["domain"], sites.agg(F.max("id")).first()[0])
     last = known.agg(F.max("page_id")).first()[0]
-    page = T.with_surrogate_ids(step.found.withColumnRenamed("page_id", "from_page"), ["from_page", "source", "pos"], last)
+    page = T.with_surrogate_ids(found.withColumnRenamed("page_id", "from_page"), ["from_page", "source", "pos"], last)
     by_domain = sites.unionByName(site).withColumnRenamed("id", "site_id")
     files = stage_files(X.link_files(spark, sf_dir))
     new = {
-        "site": site,
-        "page": page.join(by_domain, "domain").withColumn("page_type_code", F.lit("FRONTIER")),
-        "frontier": page.select(F.col("id").alias("page_id"), ntz(X.AS_OF).alias("time_added"), F.lit(False).alias("occupied")),
-        "link": page.select("from_page", F.col("id").alias("to_page")),
-        "page_data": T.with_surrogate_ids(assets.document_rows(links, files), ["page_id", "url"]),
-        "image": T.with_surrogate_ids(assets.image_rows(links, X.AS_OF, files), ["page_id", "url"]),
-        "payload": files.contents(),
+        "site": lambda: site,
+        "page": lambda: page.join(by_domain, "domain").withColumn("page_type_code", F.lit("FRONTIER")),
+        "frontier": lambda: page.select(F.col("id").alias("page_id"), ntz(X.AS_OF).alias("time_added"), F.lit(False).alias("occupied")),
+        "link": lambda: page.select("from_page", F.col("id").alias("to_page")),
+        "page_data": lambda: T.with_surrogate_ids(assets.document_rows(links, files), ["page_id", "url"]),
+        "image": lambda: T.with_surrogate_ids(assets.image_rows(links, X.AS_OF, files), ["page_id", "url"]),
+        "payload": files.contents,
     }
-    stored = {}
-    for name, rows in new.items():
+
+    def write(name: str) -> DataFrame:
         path = new_work_path(spark, name)
-        writers.append_table(rows, name, path)
-        stored[name] = readers.read_table(spark, name, path)
+        writers.append_table(new[name](), name, path)
+        return readers.read_table(spark, name, path)
+
+    # The tables do not depend on each other, so their jobs run side by side.
+    with ThreadPoolExecutor(len(new)) as jobs_:
+        stored = dict(zip(new, jobs_.map(write, new)))
     return reduce(DataFrame.unionByName, [
         _rows("site", stored["site"], "id", "domain"),
         _rows("page", stored["page"], "id", "url", "site_id"),
