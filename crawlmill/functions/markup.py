@@ -16,7 +16,7 @@ from functools import cache
 
 from pyspark.sql import Column
 
-from crawlmill.functions.references import applied, decoding, quoted
+from crawlmill.functions.references import applied, decoding, quoted, with_names
 
 # Elements without content.
 VOID = (
@@ -136,7 +136,8 @@ def _block_form(token: str) -> str:
 def _normal_form() -> str:
     block = quoted(r"^<(?i:script|style|pre|textarea)[\s/>]")
     form = f"CASE WHEN startswith(t, '<') AND t RLIKE {block} THEN {_block_form('t')} ELSE {_simple('t', _written(_stripped('t')))} END"
-    return f"page -> array_join(transform({_all('page', TOKEN)}, t -> {form}), '')"
+    written = f"array_join(transform({_all('page', TOKEN)}, t -> {form}), '')"
+    return f"page -> {with_names(written)}"
 
 
 def normal_form(page: Column) -> Column:

@@ -31,6 +31,11 @@ def _table() -> str:
     return f"map_from_arrays({split(html5.keys())}, {split(html5.values())})"
 
 
+def with_names(body: str) -> str:
+    """SQL in which ``names`` stands for the table of names; :func:`decoding` needs it. It is long, so name it once."""
+    return f"transform(array({_table()}), names -> {body})[0]"
+
+
 def _character(number: str) -> str:
     """The character of a number as HTML reads it; empty for what is no character."""
     windows = ", ".join(quoted(bytes([n]).decode("cp1252", "ignore") or chr(n)) for n in range(128, 160))
@@ -58,16 +63,16 @@ def _one() -> str:
         f"WHEN length(d) > 7 THEN {_LAST + 1}L ELSE cast(d AS bigint) END)"
     )
     named = (
-        f"transform(array(substr(r, 2)), n -> coalesce(try_element_at({_table()}, n), "
+        f"transform(array(substr(r, 2)), n -> coalesce(try_element_at(names, n), "
         f"transform(array(regexp_extract(n, '^(?:{open_names})', 0)), "
-        f"o -> try_element_at({_table()}, o) || substr(n, length(o) + 1))[0], r))[0]"
+        f"o -> try_element_at(names, o) || substr(n, length(o) + 1))[0], r))[0]"
     )
     return f"CASE r {usual} ELSE CASE WHEN startswith(r, '&#') THEN transform({number}, c -> {_character('c')})[0] ELSE {named} END END"
 
 
 @cache
 def decoding(text: str = "t") -> str:
-    """SQL that decodes the references of ``text``, the name of a variable."""
+    """SQL that decodes the references of ``text``, the name of a variable; ``names`` is another."""
     pattern = quoted(REFERENCE)
     return (
         f"CASE WHEN contains({text}, '&') THEN array_join(zip_with(split({text}, {pattern}, -1), "
@@ -76,6 +81,11 @@ def decoding(text: str = "t") -> str:
     )
 
 
+@cache
+def _decoder() -> str:
+    return f"t -> {with_names(decoding())}"
+
+
 def decode_entities(text: Column) -> Column:
     """Decode all character references of a text."""
-    return F.when(F.contains(text, F.lit("&")), applied(f"t -> {decoding()}", text)).otherwise(text)
+    return F.when(F.contains(text, F.lit("&")), applied(_decoder(), text)).otherwise(text)
