@@ -61,7 +61,8 @@ def write_bucketed(
 
     Joins and groupings by that key then read it without a shuffle. Use it for what is
     joined again and again: edges by ``from_url``, pages by ``url``. A ``partition`` column keeps
-    what is added apart.
+    what is added apart. Rows go to the task of their bucket first, so that each call adds one file
+    for a bucket and not one for every task and bucket.
     """
-    writer = df.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("append")
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("append")
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)

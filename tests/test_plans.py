@@ -6,7 +6,7 @@ from conftest import plan_of, rows
 from model import crawl, levels
 from pyspark.sql import functions as F
 
-from crawlmill.plans.bfs import bfs_levels, next_level
+from crawlmill.plans.bfs import bfs_levels, next_level, split_edges
 from crawlmill.plans.page_step import process_batch
 from crawlmill.plans.replay import prepare_corpus, replay
 from crawlmill.sources.writers import write_bucketed
@@ -58,6 +58,31 @@ def test_bfs_equals_a_queue_on_random_graphs(spark):
         assert run_bfs(spark, seeds, edges) == levels(seeds, edges)
 
 
+def test_a_level_is_one_file_for_a_bucket(spark, tmp_path):
+    rows = spark.createDataFrame([(f"n{i}", i % 2) for i in range(400)], "url string, level int").repartition(6)
+    try:
+        for level in (0, 1):
+            write_bucketed(rows.where(f"level = {level}"), "bucket_files", "url", 3, str(tmp_path / "found"), "level")
+        assert len(list(tmp_path.rglob("*.parquet"))) == 6
+        assert spark.table("bucket_files").count() == 400
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucket_files")
+
+
+def test_links_that_lead_no_further_are_not_searched_level_by_level(spark):
+    edges = spark.createDataFrame(
+        [("s", "a", 1), ("s", "x", 2), ("a", "x", 1), ("a", "y", 2), ("b", "s", 1), ("q", "z", 1), (None, "n", 1)],
+        "from_url string, url string, pos int")
+    inner, leaves = split_edges(edges)
+    assert set(rows(inner.select("from_url", "url"))) == {("s", "a"), ("b", "s")}
+    assert leaves.count() == 5
+    seeds = spark.createDataFrame([("s", 0), ("x", 1), (None, 2)], "url string, seed_order int")
+    found = bfs_levels(edges, seeds, ("pos",), buckets=2)
+    assert set(rows(found.select("url", "level", "from_url"))) == {("s", 0, None), ("x", 0, None), (None, 0, None), ("a", 1, "s"), ("y", 2, "a")}
+    ordered = [r.url for r in found.orderBy("seq").collect()]
+    assert ordered == ["s", "x", None, "a", "y"]
+
+
 def random_web(rng):
     hosts = [f"h{i}.si" for i in range(5)]
     urls = [f"http://{rng.choice(hosts)}/{rng.choice(['a', 'b', 'c'])}/{i}" for i in range(70)]
